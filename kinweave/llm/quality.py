@@ -109,7 +109,7 @@ def judged(docs: DataFrame, ratios: np.ndarray, threshold: float, name: str = "q
 def trusted_sample(docs: DataFrame, labels: DataFrame, at_most: int = 50_000) -> DataFrame:
     """Documents labelled with quality 1: those with the ``at_most`` smallest hashes of doc_id."""
     good = labels.where("quality = 1").select(F.col("doc_id").alias("of")).distinct().orderBy(F.xxhash64("of"), "of").limit(at_most)
-    return docs.join(good, F.col("doc_id") == F.col("of"), "left_semi").select("text")
+    return docs.join(F.broadcast(good), F.col("doc_id") == F.col("of"), "left_semi").select("text")  # at_most numbers
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = -0.25, at_most: int = 50_000, buckets: int = BUCKETS, name: str = "quality") -> DataFrame:

@@ -198,7 +198,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, at_most: int) -> DataFrame
     """text, toxic: labelled rows whose crc32(doc_id as text) mod 3 is not 1; those with the ``at_most`` smallest hashes."""
     good = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").alias("of")).agg(F.max("toxic").alias("toxic"))
     good = good.where(F.crc32(F.col("of").cast("string").cast("binary")) % 3 != 1).orderBy(F.xxhash64("of"), "of").limit(at_most)
-    return docs.where("text is not null").join(good, F.col("doc_id") == F.col("of")).select("text", "toxic")
+    # at_most rows of two numbers
+    return docs.where("text is not null").join(F.broadcast(good), F.col("doc_id") == F.col("of")).select("text", "toxic")
 
 
 class Model:
