@@ -1,0 +1 @@
+"""Record linkage on Spark: blocking keys, bounded postings, scored candidates and their evaluation."""
