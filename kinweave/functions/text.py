@@ -106,12 +106,12 @@ def token_pairs(words: Column) -> Column:
 
 def parse_id_list(raw: Column) -> Column:
     """The identifiers of a comma-separated list: trimmed, without blanks, each once, in their order."""
-    return F.array_distinct(F.filter(F.transform(F.split(F.coalesce(raw, F.lit("")), ","), F.trim), lambda x: x != ""))
+    return F.array_distinct(F.filter(F.transform(F.split(F.coalesce(raw, F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != ""))
 
 
 def serialize_id_list(ids: Column) -> Column:
     """A list of identifiers as text: each once, sorted, joined by commas."""
-    return F.array_join(F.array_sort(F.array_distinct(F.filter(F.transform(ids, F.trim), lambda x: x != ""))), ",")
+    return F.array_join(F.array_sort(F.array_distinct(F.filter(F.transform(ids, lambda x: F.trim(x)), lambda x: x != ""))), ",")
 
 
 def has_target_prefix(ident: Column) -> Column:

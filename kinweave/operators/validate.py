@@ -54,7 +54,7 @@ def read_lists(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
     head = lines.first()
     header = head["value"].split("\t") if head else []
     part = F.split("value", "\t")
-    raw = F.filter(F.transform(F.split(F.coalesce(F.get(part, F.lit(1)), F.lit("")), ","), F.trim), lambda x: x != "")
+    raw = F.filter(F.transform(F.split(F.coalesce(F.get(part, F.lit(1)), F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != "")
     body = lines.where(F.col("value") != F.lit(head["value"] if head else "")).select(F.trim(F.get(part, F.lit(0))).alias("s1_id"), raw.alias("raw"), F.size(part).alias("n_columns"))
     return header, body
 

@@ -214,7 +214,7 @@ UNION ALL SELECT 'unexpected', count(*), min(s1_id) FROM (SELECT DISTINCT s1_id
 UNION ALL SELECT 'not_candidate', 3, 'S1-x S2-1'""")
 def validate_candidates(spark, sf_dir):
     truth = fixtures.truth(spark, sf_dir)
-    half = truth.where(F.split("s1_id", "-")[1].cast("long") % 2 == 0).select("s1_id", F.col("ids").alias("raw"))
+    half = truth.where(F.get(F.split("s1_id", "-"), F.lit(1)).try_cast("long") % 2 == 0).select("s1_id", F.col("ids").alias("raw"))
     lists = half.unionByName(spark.sql("SELECT 'S1-x' AS s1_id, array('S9-1', 'S2-1', 'S2-1') AS raw")).withColumn("n_columns", F.lit(2))
     return validate.violations(lists, truth.select(F.col("s1_id").alias("entity_id")), truth)
 
