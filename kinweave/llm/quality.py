@@ -73,17 +73,23 @@ def gram_counts(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     return docs.select("text").where("text is not null").mapInPandas(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smooth: float = 1.0) -> np.ndarray:
+def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smooth: float = 5.0) -> np.ndarray:
     """log(target / raw) for each bucket: as many numbers as ``buckets``, whatever the corpus."""
     both = gram_counts(docs, buckets).withColumn("of", F.lit(0)).unionByName(gram_counts(trusted, buckets).withColumn("of", F.lit(1)))
     n = np.zeros((2, buckets))
     for r in both.collect():  # at most 2 * buckets rows
         n[r["of"], r["bucket"]] = r["n"]
-    # The raw corpus is the background that both are smoothed with, so that rare grams count little.
-    raw = (n[0] + smooth) / (n[0].sum() + smooth * buckets)
-    mass = smooth * buckets
-    target = (n[1] + mass * raw) / (n[1].sum() + mass)
-    return np.log(target) - np.log(raw)
+    return ratios_of(n[0], n[1], smooth)
+
+
+def ratios_of(raw: np.ndarray, target: np.ndarray, smooth: float = 5.0) -> np.ndarray:
+    """log(target / raw) of two arrays of counts.
+
+    A bucket's count in the target is compared with what the raw corpus leads one to expect there;
+    ``smooth`` is added to both, so that buckets with few expected grams say little, in a corpus of any size.
+    """
+    expected = raw * (target.sum() / max(raw.sum(), 1))
+    return np.log((target + smooth) / (expected + smooth))
 
 
 def judged(docs: DataFrame, ratios: np.ndarray, threshold: float, name: str = "quality") -> DataFrame:
@@ -112,7 +118,7 @@ def trusted_sample(docs: DataFrame, labels: DataFrame, at_most: int = 50_000) ->
     return docs.join(F.broadcast(good), F.col("doc_id") == F.col("of"), "left_semi").select("text")  # at_most numbers
 
 
-def quality(docs: DataFrame, labels: DataFrame, threshold: float = -0.25, at_most: int = 50_000, buckets: int = BUCKETS, name: str = "quality") -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, threshold: float = -0.35, at_most: int = 50_000, buckets: int = BUCKETS, name: str = "quality") -> DataFrame:
     """``docs`` with the column ``name``: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     log_ratio, base_failed, kept.
 
