@@ -136,7 +136,7 @@ class OpenBins:
             free = length + (fits & -fits).bit_length() - 1
             where = self._take(free)
         else:
-            if self.open >= self.room:
+            if self.open >= self.room and length < self.capacity:
                 self._take((self.bits & -self.bits).bit_length() - 1)  # the fullest closes
             free, where = self.capacity, self.made
             self.made += 1

@@ -160,7 +160,8 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0, level: int = 6
                     yield got
 
         _Files(folder).put(name, members())
-        yield pd.DataFrame(entries, columns=[c.split()[0] for c in _ENTRY.split(", ")])
+        if entries:
+            yield pd.DataFrame(entries, columns=[c.split()[0] for c in _ENTRY.split(", ")])
 
     # Numbers as text: pandas would turn a column with a null into floating point.
     rows = _decided(pages, least).select(F.col("page_id").cast("string").alias("page_id"), "url", "html", F.col("refers").cast("string").alias("refers"))
