@@ -197,7 +197,8 @@ def mixed(docs: DataFrame, **how) -> DataFrame:
     taken = copies(docs, **how).groupBy(F.col("key").alias(key)).agg(F.sum("copies").alias(total), F.count("*").alias(rows))
     taken = taken.where(F.col(total) > 0)
     of = F.xxhash64("doc_id", F.coalesce("source", F.lit("\0null")), F.coalesce("text", F.lit("\0null")))
-    out = docs.withColumn(key, of).join(taken, key)
+    # Both sides grow with the corpus: a sort-merge join at every size, instead of a shuffle of the texts that is begun and dropped.
+    out = docs.withColumn(key, of).join(taken.hint("merge"), key)
     # Equal rows are interchangeable: each gets the whole part of the mean, the first ones one more.
     several = taken.where(F.col(rows) > 1).limit(1).count() > 0
     out = out.withColumn(number, F.row_number().over(Window.partitionBy(key).orderBy("doc_id")) if several else F.lit(1))

@@ -105,6 +105,8 @@ def first_of_each(docs: DataFrame, **how) -> DataFrame:
     """
     found = written(components(docs, **how).select("doc_id", "component_id"), "components")
     gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone")).distinct()
+    # Written first, so that its size is known before a join is chosen: texts are shuffled only if it is large.
+    gone = written(gone, "gone")
     kept = docs.join(gone, docs["doc_id"].eqNullSafe(F.col("gone")), "left_anti")
     if found.groupBy("doc_id").count().where("count > 1").limit(1).count():
         n = unused(docs, "n")
