@@ -51,16 +51,17 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
             for text in df["text"]:
                 seen.update(text.split())
             if len(seen) > 200_000:
-                yield words_of(seen)
+                yield from words_of(seen)
                 seen.clear()
-        yield words_of(seen)
+        yield from words_of(seen)
 
-    def words_of(seen: Counter) -> pd.DataFrame:
+    def words_of(seen: Counter) -> Iterator[pd.DataFrame]:
         words: Counter = Counter()
         for part, n in seen.items():
             for w in _WORD.findall(part.lower()):
                 words[w] += n
-        return pd.DataFrame({"word": list(words), "n": list(words.values())})
+        if words:  # an empty list would make a column of floating point numbers
+            yield pd.DataFrame({"word": list(words), "n": list(words.values())})
 
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(_N**3)
@@ -213,11 +214,11 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(total, -30, 30))))
 
 
-def fit(train: DataFrame, restorer: Restorer, buckets: int = 1 << 22, keep: int = 4096) -> Model:
+def fit(train: DataFrame, restorer: Restorer, buckets: int = 1 << 22, keep: int = 4096, least_gain: float = 5.0) -> Model:
     """Count features by class, keep the ``keep`` that tell most, and fit their weights and a bias.
 
-    The features kept are those with the largest likelihood ratio between their frequencies in the
-    two classes.  Logistic regression over them sees the training rows' hits only.
+    The features kept are those with the largest log-likelihood ratio, ``least_gain`` at least, between
+    their frequencies in the two classes.  Logistic regression over them sees the training rows' hits only.
     """
     spark = train.sparkSession
     shared = spark.sparkContext.broadcast(restorer)
@@ -242,7 +243,7 @@ def fit(train: DataFrame, restorer: Restorer, buckets: int = 1 << 22, keep: int
     c, t = F.col("c").cast("double"), F.col("t").cast("double")
     both = c + t
     gain = term(t, both) + term(c, both) - t * np.log(toxic / (clean + toxic)) - c * np.log(clean / (clean + toxic))
-    chosen = [r["f"] for r in counts.where(t / toxic > c / clean).where(both >= 3).orderBy(gain.desc(), "f").limit(keep).collect()]
+    chosen = [r["f"] for r in counts.where((t / toxic > c / clean) & (gain >= least_gain)).orderBy(gain.desc(), "f").limit(keep).collect()]
     scorer = Scorer(restorer.language, {f: i for i, f in enumerate(chosen)}, buckets)
     scoring = spark.sparkContext.broadcast(scorer)
 
