@@ -1,0 +1,61 @@
+"""Exact similarity joins by prefixes.
+
+If two sets of features must share some number of them, then under any fixed order of features the
+smallest shared one stands early in both.  So items meet on their first features only, and none that
+are similar miss each other.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from .shared import connected_groups, written
+
+
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` names it."""
+    return F.transform(F.array(value), f)[0]
+
+
+def meetings(keys: DataFrame) -> DataFrame:
+    """``keys`` (key, h, len, at) on keys that several rows have, and first: the smallest h, len, at there."""
+    at = Window.partitionBy("key")
+    met = keys.withColumn("n", F.count("*").over(at)).withColumn("first", F.min(F.struct("h", "len", "at")).over(at))
+    return met.where("n > 1").drop("n")
+
+
+def first_pairs(met: DataFrame, near: Column) -> DataFrame:
+    """h, g: each item with the first of each of its keys, where ``near`` (of len, at, lem, bt): as many pairs as meetings at most."""
+    pairs = met.select("h", "len", "at", F.col("first.h").alias("g"), F.col("first.len").alias("lem"), F.col("first.at").alias("bt"))
+    pairs = pairs.where((F.col("h") != F.col("g")) & near)
+    return pairs.select(F.least("h", "g").alias("h"), F.greatest("h", "g").alias("g")).distinct()
+
+
+def other_pairs(met: DataFrame, groups: DataFrame, near: Column) -> DataFrame:
+    """h, g: items of one key that are ``near`` and that ``groups`` (h, root) does not connect yet."""
+    of = met.join(groups, "h", "left").select("key", "h", "len", "at", F.coalesce("root", "h").alias("root"))
+    mixed = of.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("key")
+    of = of.join(mixed, "key", "left_semi")
+    other = of.select("key", F.col("h").alias("g"), F.col("len").alias("lem"), F.col("at").alias("bt"), F.col("root").alias("toor"))
+    pairs = of.join(other, "key").where((F.col("h") < F.col("g")) & (F.col("root") != F.col("toor")) & near)
+    return pairs.select("h", "g").distinct()
+
+
+def similar_groups(keys: DataFrame, near: Column, similar: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """h, root: the connected groups of all similar items that share a key.
+
+    ``near`` may only refuse pairs that aren't similar; ``similar`` takes pairs h, g and returns those
+    that are, as u, v.  Items are compared with the first of each of their keys, and then with the others
+    that are not connected to them yet; no link is left out that would connect two groups.
+    """
+    met = written(meetings(keys), "meetings")
+    links = written(similar(written(first_pairs(met, near), "near")), "links")
+    groups = connected_groups(links, "h", "root")
+    rest = written(other_pairs(met, groups, near), "near")
+    if rest.limit(1).count():
+        groups = connected_groups(links.unionByName(written(similar(rest), "links")), "h", "root")
+    return groups

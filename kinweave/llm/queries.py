@@ -58,7 +58,7 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+    return lines.dedup_lines(_table(spark, sf_dir, "documents"), bits=None).select("doc_id", "text", "n_lines", "n_removed")
 
 
 def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
