@@ -5,19 +5,23 @@ fingerprint goes to the 65 values within 1 bit of it; those that come to one val
 bits apart, and every pair at most 2 bits apart comes to one.  No more than 65 fingerprints are
 within 1 bit of a value, so a meeting is small however large a group of copies is: copies have one
 fingerprint, which is dealt out once.
+
+Fingerprints of 2 bits find little beyond exact copies.  ``similar_components`` groups documents by the
+Jaccard similarity of their shingles itself, without leaving out a pair.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .prefix import let, similar_groups
 from .shared import connected_groups, unused, written
 
 _CHUNK = 1 << 16
@@ -98,12 +102,56 @@ def components(docs: DataFrame, bits: int = 2, width: int = 3, seed: int = 42) -
     return got.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def first_of_each(docs: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its group, one for each group.
+def shingle_sets(docs: DataFrame, width: int = 5) -> DataFrame:
+    """doc_id, h, shingles: the distinct ``width``-word shingles of each text in lower case, as ascending hashes; h is a hash of the set.
+
+    Words are runs of anything but ASCII white space.  A text with fewer words has one shingle of them all (null text: as empty).
+    """
+
+    def of(words: Column) -> Column:
+        def shingle(i: Column) -> Column:
+            return F.xxhash64(*[F.get(words, i + k) for k in range(width)])
+
+        return F.array_sort(F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - width, F.lit(0))), shingle)))
+
+    words = F.split(F.trim(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), r"[\x20\x09-\x0D]+", " ")), " ")
+    sets = docs.select("doc_id", let(F.transform(words, lambda w: F.xxhash64(w)), of).alias("shingles"))
+    return sets.select("doc_id", F.xxhash64("shingles").alias("h"), "shingles")
+
+
+def similar_components(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """doc_id, component_id: as ``components``, linking all documents whose shingles have a Jaccard similarity of at least ``similarity``.
+
+    Sets of a and b shingles that similar share at least ``similarity`` times the larger, so one of the first
+    (1 - similarity) * a + 1 of each.  Every pair that meets there and can share enough is checked.
+    """
+    sets = written(shingle_sets(docs, width), "shingles")
+    n = F.size("shingles")
+    most = F.floor((1 - similarity) * n + 1e-9).cast("int") + 1
+    keys = sets.select("h", n.alias("len"), F.posexplode(F.slice("shingles", 1, most)).alias("at", "key")).select("key", "h", "len", "at")
+    share = F.lit(similarity / (1 + similarity)) - 1e-9
+    # The first shared one leaves no more to share than the shorter rest.
+    near = F.least(F.col("len") - F.col("at"), F.col("lem") - F.col("bt")) >= share * (F.col("len") + F.col("lem"))
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        asked = pairs.select("h").unionByName(pairs.select(F.col("g").alias("h"))).distinct()
+        of = written(sets.join(asked, "h").select("h", "shingles").dropDuplicates(["h"]), "sets")
+        both = pairs.join(of, "h").join(of.select(F.col("h").alias("g"), F.col("shingles").alias("others")), "g")
+        both = both.withColumn("both", F.size(F.array_intersect("shingles", "others")))
+        return both.where(F.col("both") >= share * (F.size("shingles") + F.size("others"))).select(F.col("h").alias("u"), F.col("g").alias("v"))
+
+    groups = similar_groups(keys.distinct(), near, similar)
+    of = sets.groupBy("h").agg(F.min("doc_id").alias("least")).join(groups, "h", "left").select("h", "least", F.coalesce("root", "h").alias("root"))
+    of = of.join(of.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("h", "component_id")
+    return sets.select("doc_id", "h").join(of, "h").select("doc_id", "component_id")
+
+
+def first_of_each(docs: DataFrame, by: Callable[..., DataFrame] = components, **how) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is the smallest of its group, one for each group that ``by`` finds.
 
     Where several rows have that doc_id, one stays.  Rows without a doc_id stay if their group has no other, one of them.
     """
-    found = written(components(docs, **how).select("doc_id", "component_id"), "components")
+    found = written(by(docs, **how).select("doc_id", "component_id"), "components")
     gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone")).distinct()
     # Written first, so that its size is known before a join is chosen: texts are shuffled only if it is large.
     gone = written(gone, "gone")

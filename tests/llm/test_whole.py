@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 
+import corpus_pipeline
 from kinweave.llm import lines, queries
 
 WORDS = "the of and to in is that it was for on are as with his they at be this from have or by one had not but what all were when we there can an your which their said".split()
@@ -60,3 +61,27 @@ def test_op6_links_by_edit_similarity(spark, tmp_path):
     spark.createDataFrame([(1, " ".join(base)), (2, " ".join(other))], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r["doc_id"]: r["n_removed"] for r in queries.op6_fuzzy_lines(spark, str(tmp_path)).collect()}
     assert got == {1: 0, 2: 1}
+
+
+def test_near_dedup_links_by_jaccard(spark):
+    draw, texts = random.Random(6), []
+    for k in range(12):
+        base = line_of((3, 30, 100, 300)[k % 4], draw)
+        texts += [base, *(changed(base, 1 + e * len(base) // 100, draw) for e in (0, 1, 2, 4, 8)), list(base)]
+    texts += [[], []]
+    sets = [{tuple(x[i : i + 5]) for i in range(max(1, len(x) - 4))} for x in texts]
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            a, b = find(a), find(b)
+            parent[max(a, b)] = min(a, b)
+    df = spark.createDataFrame([(i, " ".join(x), "en", "s", 1) for i, x in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.dedup_documents(spark, df, "")
+    assert got.columns == df.columns and sorted(r["doc_id"] for r in got.collect()) == [i for i in range(len(texts)) if find(i) == i]
+    assert sum(find(i) == i for i in range(len(texts))) < len(texts) - 24
