@@ -85,3 +85,13 @@ def test_near_dedup_links_by_jaccard(spark):
     got = corpus_pipeline.dedup_documents(spark, df, "")
     assert got.columns == df.columns and sorted(r["doc_id"] for r in got.collect()) == [i for i in range(len(texts)) if find(i) == i]
     assert sum(find(i) == i for i in range(len(texts))) < len(texts) - 24
+
+
+def test_short_and_unspaced_lines(spark):
+    chinese = "这是一个没有空格的句子，它在很多文件里出现，所以应该只留下一次。"
+    thai = "ข้อความนี้ไม่มีช่องว่างและซ้ำกันในเอกสารหลายฉบับ"
+    blob = "q7x" * 30
+    rows = [(1, f"All rights reserved.\n\n{chinese}\n{thai}\n{blob}\none two"), (2, f"all rights reserved\n\n{chinese.replace('很多', '许多')}\n{thai}\n{blob[:50]}z{blob[50:]}\none too")]
+    rows.append((3, "all rights reserved\n-\n\n短的\n短的"))
+    got = {r["doc_id"]: r["text"] for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), bits=None).collect()}
+    assert got == {1: rows[0][1], 2: "\none too", 3: "-\n\n短的"}
