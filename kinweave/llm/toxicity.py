@@ -67,7 +67,7 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
         total = np.zeros(_N**3)
         for df in batches:
             for word, n in zip(df["word"], df["n"], strict=True):
-                p = [0, 0, *map(place, word[:64]), 0]
+                p = [0, 0, *map(place, word), 0]
                 for i in range(len(p) - 2):
                     total[(p[i] * _N + p[i + 1]) * _N + p[i + 2]] += n
         at = np.flatnonzero(total)
@@ -90,7 +90,7 @@ class Language:
 
     def decode(self, noisy: str) -> str:
         """The likeliest reading of a noisy word, in letters."""
-        log, paths = self.log, {(0, 0): (0.0, "")}
+        log, paths = self.log, {(0, 0): (0.0, None)}  # of the last two letters: cost, and what was said as (before, last)
         low = noisy.lower()
         spaced = len(low) > 2 and not (low[1].isalnum() or low[1] in SIGNS)
         before = ""
@@ -108,13 +108,18 @@ class Language:
                     k = place(x)
                     got = cost + extra + float(log[a, b, k])
                     if got > new.get((b, k), (-1e30,))[0]:
-                        new[b, k] = (got, said + x)
-                if said and (c == before or said[-1] in SIGNS.get(c, "") and c == before):
+                        new[b, k] = (got, (said, x))
+                if said and c == before:
                     got = cost + _DROP
                     if got > new.get((a, b), (-1e30,))[0]:
                         new[a, b] = (got, said)
             paths, before = new, c
-        return max((cost + float(log[a, b, 0]), said) for (a, b), (cost, said) in paths.items())[1]
+        _, said = max(((cost + float(log[a, b, 0]), said) for (a, b), (cost, said) in paths.items()), key=lambda x: x[0])
+        out = []
+        while said:
+            said, x = said
+            out.append(x)
+        return "".join(reversed(out))
 
 
 class Restorer:
@@ -127,7 +132,7 @@ class Restorer:
     def part(self, part: str) -> str:
         """A part without white space, restored."""
         core = part.rstrip(_END)
-        return self.language.decode(core) if 1 < len(core) <= 64 and _NOISY.search(core) else part
+        return self.language.decode(core) if len(core) > 1 and _NOISY.search(core) else part
 
     def text(self, text: str) -> str:
         """A text, restored: its parts one by one, and runs of four and more lone letters and signs as one word each."""
@@ -136,7 +141,7 @@ class Restorer:
             if len(x) == 1 and (x.isalnum() or x in SIGNS):
                 run.append(x)
                 continue
-            out += [self.language.decode(" ".join(run))] if 4 <= len(run) <= 64 else run
+            out += [self.language.decode(" ".join(run))] if len(run) >= 4 else run
             run = []
             out.append(self.part(x) if x else "")
         return " ".join(out).strip()
@@ -170,7 +175,7 @@ class Restorer:
                 if len(x) == 1 and (x.isalnum() or x in SIGNS):
                     run.append(x)
                 else:
-                    if 4 <= len(run) <= 64:
+                    if len(run) >= 4:
                         found.update(self._keep(self._features(self.language.decode(" ".join(run)))))
                     run = []
         return found

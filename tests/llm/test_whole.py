@@ -3,9 +3,10 @@
 import itertools
 import math
 import random
+from collections import Counter
 
 import corpus_pipeline
-from kinweave.llm import lines, queries
+from kinweave.llm import lines, queries, toxicity
 
 WORDS = "the of and to in is that it was for on are as with his they at be this from have or by one had not but what all were when we there can an your which their said".split()
 
@@ -95,3 +96,24 @@ def test_short_and_unspaced_lines(spark):
     rows.append((3, "all rights reserved\n-\n\n短的\n短的"))
     got = {r["doc_id"]: r["text"] for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), bits=None).collect()}
     assert got == {1: rows[0][1], 2: "\none too", 3: "-\n\n短的"}
+
+
+def restorer():
+    counts = Counter()
+    for w in [*WORDS * 20, *"i a idiot stupid fuck loser will all well happy known hello can't see too good".split() * 20]:
+        p = [0, 0, *map(toxicity.place, w), 0]
+        counts.update((p[i] * toxicity._N + p[i + 1]) * toxicity._N + p[i + 2] for i in range(len(p) - 2))
+    return toxicity.Restorer(toxicity.Language(counts))
+
+
+def test_long_noise_is_decoded():
+    r = restorer()
+    assert r.text("stu" + "u" * 70 + "pid") == "stupid" and "stupid" in r.features("x" + " s" + " t" * 80 + " u p i d stu" + "u" * 5000 + "pid")
+    long = " ".join("stupid" * 12)
+    assert r.text(long).replace(" ", "") == "stupid" * 12 and r.text(long.replace(" ", ".")).replace(".", "") == "stupid" * 12
+
+
+def test_long_words_are_counted_whole(spark):
+    counts = {r["at"]: r["n"] for r in toxicity.trigram_counts(spark.createDataFrame([("ab" * 100 + "xyz",)], "text string")).collect()}
+    x, y, z = map(toxicity.place, "xyz")
+    assert counts[(x * toxicity._N + y) * toxicity._N + z] == 1
