@@ -1,8 +1,8 @@
 """Toxicity of texts after a noisy channel is undone.
 
 A writer hides words by digits and signs for letters, by letters said several times, and by spaces
-or dots between letters.  A word that looks so becomes a lattice: each character may stand for some
-letters at a cost, a repeated one may be dropped, a lone letter may join the next.  Viterbi finds the
+or marks between letters.  A word that looks so becomes a lattice: each character may stand for some
+letters at a cost, a repeated one may be dropped, a gap may be read over or end a word.  Viterbi finds the
 reading that is likeliest under a character trigram model of the corpus and the channel's costs.
 The text restored this way is scored by a linear model over words and their beginnings.
 """
@@ -13,6 +13,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -29,10 +30,13 @@ _OTHER = len(LETTERS)
 _N = _OTHER + 1
 _WORD = re.compile(r"[^\W\d_]+")
 _SIGN = re.escape("".join(SIGNS))
-#: Letters next to signs; three equal letters in a row; letters with single marks between.
-_NOISY = re.compile(rf"[^\W\d_][{_SIGN}]|[{_SIGN}]+[^\W\d_]|([^\W\d_])\1\1|^[\w@$!](?:[.*_-][\w@$!]){{3,}}$")
+_MARK = rf"(?:_|[^\w\s{_SIGN}])"
+#: Letters next to signs; two equal letters in a row; marks between letters.
+_NOISY = re.compile(rf"[^\W\d_][{_SIGN}]|[{_SIGN}]+[^\W\d_]|([^\W\d_])\1|[^\W\d_]{_MARK}+[\w{_SIGN}]|[\w{_SIGN}]{_MARK}+[^\W\d_]", re.I)
 _END = "!?.,;:\"')]}»”…"
-_REPLACE, _DROP, _JOIN, _SAME = -1.0, -0.7, -0.2, -2.5
+_REPLACE, _DROP, _SAME = -1.0, -0.7, -2.5
+#: Dropping one of two equal letters, in a word with one such pair (who doubles letters does so throughout); reading on over a mark; a word's end at a gap, where all letters stand alone.
+_PAIR, _SKIP, _BREAK = -8.0, -2.0, -2.0
 
 
 def place(c: str) -> int:
@@ -77,6 +81,11 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
     return words.mapInPandas(grams, "at int, n long").groupBy("at").agg(F.sum("n").alias("n"))
 
 
+def _spelt(run: list[str]) -> bool:
+    """Whether lone letters and signs in a row can spell a word."""
+    return len(run) > 1 and any(x.isalpha() for x in run)
+
+
 class Language:
     """log P(c | a, b) of characters: trigrams smoothed by bigrams by single ones, in an array of a fixed size."""
 
@@ -92,11 +101,23 @@ class Language:
         """The likeliest reading of a noisy word, in letters."""
         log, paths = self.log, {(0, 0): (0.0, None)}  # of the last two letters: cost, and what was said as (before, last)
         low = noisy.lower()
-        spaced = len(low) > 2 and not (low[1].isalnum() or low[1] in SIGNS)
+        gap = [not (c.isalnum() or c in SIGNS) for c in low]
+        spaced = len(low) > 2 and all(g == i % 2 for i, g in enumerate(gap))
+        skip, end = (0.0, _BREAK) if spaced else (_SKIP, 0.0)
+        runs = [(c, len(list(same))) for c, same in groupby(c for c, g in zip(low, gap, strict=True) if not g)]
+        pair = _PAIR / max(1, sum(n == 2 for _, n in runs))
+        drops = iter([_DROP if n > 2 else pair for _, n in runs for _ in range(n)])
         before = ""
-        for i, c in enumerate(low):
-            if spaced and i % 2:
-                continue  # the gap; its cost is the same for every reading
+        for c, between in zip(low, gap, strict=True):
+            if between:
+                # Either the word goes on, or it ends here and the next begins.
+                new = {at: (cost + skip, said) for at, (cost, said) in paths.items() if at != (0, 0)}
+                ends = [(cost + (end + float(log[a, b, 0]) if (a, b) != (0, 0) else 0.0), said) for (a, b), (cost, said) in paths.items()]
+                cost, said = max(ends, key=lambda x: x[0])
+                new[0, 0] = (cost, (said, c))
+                paths = new
+                continue
+            drop = next(drops)
             options = [(x, _REPLACE) for x in SIGNS.get(c, "")]
             if c.isalpha():
                 options.append((c, 0.0))
@@ -109,12 +130,12 @@ class Language:
                     got = cost + extra + float(log[a, b, k])
                     if got > new.get((b, k), (-1e30,))[0]:
                         new[b, k] = (got, (said, x))
-                if said and c == before:
-                    got = cost + _DROP
+                if c == before and (a, b) != (0, 0):
+                    got = cost + drop
                     if got > new.get((a, b), (-1e30,))[0]:
                         new[a, b] = (got, said)
             paths, before = new, c
-        _, said = max(((cost + float(log[a, b, 0]), said) for (a, b), (cost, said) in paths.items()), key=lambda x: x[0])
+        _, said = max(((cost + (float(log[a, b, 0]) if (a, b) != (0, 0) else 0.0), said) for (a, b), (cost, said) in paths.items()), key=lambda x: x[0])
         out = []
         while said:
             said, x = said
@@ -135,13 +156,13 @@ class Restorer:
         return self.language.decode(core) if len(core) > 1 and _NOISY.search(core) else part
 
     def text(self, text: str) -> str:
-        """A text, restored: its parts one by one, and runs of four and more lone letters and signs as one word each."""
+        """A text, restored: its parts one by one, and runs of lone letters and signs as the words they spell."""
         out, run = [], []
         for x in [*text.split(), ""]:
             if len(x) == 1 and (x.isalnum() or x in SIGNS):
                 run.append(x)
                 continue
-            out += [self.language.decode(" ".join(run))] if len(run) >= 4 else run
+            out += [self.language.decode(" ".join(run))] if _spelt(run) else run
             run = []
             out.append(self.part(x) if x else "")
         return " ".join(out).strip()
@@ -175,7 +196,7 @@ class Restorer:
                 if len(x) == 1 and (x.isalnum() or x in SIGNS):
                     run.append(x)
                 else:
-                    if len(run) >= 4:
+                    if _spelt(run):
                         found.update(self._keep(self._features(self.language.decode(" ".join(run)))))
                     run = []
         return found

@@ -100,10 +100,10 @@ def test_short_and_unspaced_lines(spark):
 
 def restorer():
     counts = Counter()
-    for w in [*WORDS * 20, *"i a idiot stupid fuck loser will all well happy known hello can't see too good".split() * 20]:
+    for w in [*WORDS * 20, *"i a you idiot stupid fuck loser will all well happy known hello can't see too good".split() * 20]:
         p = [0, 0, *map(toxicity.place, w), 0]
         counts.update((p[i] * toxicity._N + p[i + 1]) * toxicity._N + p[i + 2] for i in range(len(p) - 2))
-    return toxicity.Restorer(toxicity.Language(counts))
+    return toxicity.Restorer(toxicity.Language({k: 100 * n for k, n in counts.items()}))
 
 
 def test_long_noise_is_decoded():
@@ -117,3 +117,13 @@ def test_long_words_are_counted_whole(spark):
     counts = {r["at"]: r["n"] for r in toxicity.trigram_counts(spark.createDataFrame([("ab" * 100 + "xyz",)], "text string")).collect()}
     x, y, z = map(toxicity.place, "xyz")
     assert counts[(x * toxicity._N + y) * toxicity._N + z] == 1
+
+
+def test_light_noise_is_decoded():
+    r = restorer()
+    for noisy in ("iiddiioott", "st.up.id", "i-di-ot", "s,t,u,p,i,d", "i d i o t"):
+        assert r.text(noisy) in ("idiot", "stupid"), noisy
+    assert "fuck" in r.features("fu.ck you") and r.text("s ee") == "s ee"
+    assert r.text("y o u i d i o t") == "you idiot" and {"you", "idiot"} <= r.features("y o u i d i o t")
+    clean = "all will well happy known hello too good can't well-known see,all 3.14 i-a"
+    assert r.text(clean) == clean
