@@ -2,8 +2,8 @@
 
 Markup is stripped, each block of text becomes a line, and text lengths are summed over a sliding
 window of lines.  Where the sum surges an article begins, where it dives to nothing it ends; the
-lines between are kept.  A line that stands in a menu, header, footer, sidebar, notice, advert, form
-or comment section has no weight, so that such a stretch makes a dive however long its lines are.
+lines between are kept, and the short ones that adjoin.  A line that stands in a menu, header, footer, sidebar, notice, advert, form
+or comment section is left out before that; a short one that is all link has no weight, so that a list of links makes a dive.
 """
 
 from __future__ import annotations
@@ -22,17 +22,18 @@ _RAW = frozenset("script style noscript template textarea svg math iframe object
 _ASIDE = frozenset("nav header footer aside form menu dialog select button fieldset datalist".split())
 _MAIN = frozenset("article main".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+_HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr output q ruby rb rt rp rtc s samp small span strike strong sub sup time tt u var".split()
 )
 # Words of class names, ids and roles that say what a part of a page is for.
 _HINT = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert|adverts|advertisement|banner|promo|promoted|promotion|sponsor|sponsored|sponsors|"
+    r"(?:^|[\s_-])(?<!has[_-])(?<!with[_-])(?<!no[_-])(?<!without[_-])(ad|ads|adv|advert|adverts|advertisement|banner|promo|promoted|promotion|sponsor|sponsored|sponsors|"
     r"nav|navbar|navigation|menu|breadcrumb|breadcrumbs|sidebar|side|aside|widget|header|masthead|footer|foot|"
     r"comment|comments|commentlist|disqus|respond|replies|reply|discussion|"
     r"cookie|cookies|consent|gdpr|notice|notification|alert|popup|modal|overlay|toast|"
     r"share|sharing|social|related|recommended|recommendations|subscribe|subscription|newsletter|signup|login|search|pagination|pager|"
-    r"complementary|contentinfo|dialog|skip)(?:$|[\s_-]|\d)",
+    r"complementary|contentinfo|dialog|skip)(?=$|[\s_-]|\d)",
     re.I,
 )
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
@@ -40,40 +41,56 @@ _NAMES = re.compile(r"(?:^|[\s\"'])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^'
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", re.I)
 
 
-def _aside(name: str, attributes: str) -> bool:
-    """Whether an element holds something else than the article."""
+def _aside(name: str, attributes: str, within: bool) -> int:
+    """Whether an element holds something else than the article: 2 for certain, 1 by a hint, 0 not.
+
+    Within an article a header is its heading, and no hint makes a heading something else.
+    """
     if name in _ASIDE:
-        return True
+        return 0 if name == "header" and within else 2
     if not attributes or name in _MAIN or name in ("body", "html"):
-        return False
-    return any(_HINT.search(a or b or c) for a, b, c in _NAMES.findall(attributes)) or bool(_HIDDEN.search(attributes))
+        return 0
+    if _HIDDEN.search(attributes):
+        return 2
+    if name in _HEADING:
+        return 0
+    words = {w.lower() for a, b, c in _NAMES.findall(attributes) for w in _HINT.findall(a or b or c)}
+    return int(bool(words - {"header", "masthead"} if within else words))
 
 
-def blocks(html: str) -> list[tuple[str, bool, bool]]:
-    """The page's lines, in order: text, whether it is beside the article, whether it is within an article element.
+def blocks(html: str) -> list[tuple[str, int, bool, bool]]:
+    """The page's lines, in order: text, whether it is beside the article, whether it is within an article element, whether it is all link.
 
-    A page header's ``header`` is beside the article; one within an article element is its heading.
+    Beside is 2 for certain, and 1 if only a hint around the article element says so.
     """
-    out: list[tuple[str, bool, bool]] = []
+    out: list[tuple[str, int, bool, bool]] = []
     held: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # of elements that are not closed: name, beside, within
-    beside = within = False
+    stack: list[tuple[str, int, bool]] = []  # of elements that are not closed: name, beside, within
+    beside, within = 0, False
+    link, plain = False, False  # whether in a link, and whether the held text has any outside
     at, end = 0, len(html)
 
     def flush() -> None:
+        nonlocal plain
         if held:
             text = " ".join(unescape("".join(held)).split())
             held.clear()
             if text:
-                out.append((text, beside, within))
+                out.append((text, beside, within, not plain))
+        plain = False
+
+    def hold(text: str) -> None:
+        nonlocal plain
+        held.append(text)
+        plain = plain or not link and not text.isspace()
 
     while at < end:
         m = _TOKEN.search(html, at)
         if not m:
-            held.append(html[at:])
+            hold(html[at:])
             break
         if m.start() > at:
-            held.append(html[at : m.start()])
+            hold(html[at : m.start()])
         at = m.end()
         if m[2] is None:
             continue
@@ -85,6 +102,8 @@ def blocks(html: str) -> list[tuple[str, bool, bool]]:
             continue
         if name in _INLINE:
             # An inline element can be an advert too, but then it stands for itself.
+            if name == "a":
+                link = not close
             continue
         if name in _VOID:
             held.append(" ")
@@ -103,10 +122,12 @@ def blocks(html: str) -> list[tuple[str, bool, bool]]:
                     break
         elif not m[3].endswith("/"):
             if name == "p" or len(stack) > 4096:  # a paragraph may lack its end: it never holds blocks
-                if not _aside(name, m[3]):
+                if not _aside(name, m[3], within):
                     continue
             stack.append((name, beside, within))
-            beside = beside or (_aside(name, m[3]) and not (name == "header" and within))
+            beside = max(beside, 2 * (_aside(name, m[3], within) > 0) if within else _aside(name, m[3], within))
+            if name == "main" and beside == 1:
+                beside = 0  # a page has one
             within = within or name in _MAIN
     flush()
     return out
@@ -115,26 +136,32 @@ def blocks(html: str) -> list[tuple[str, bool, bool]]:
 def main_text(html: str, window: int = 3, surge: int = 80) -> str:
     """The lines of the article, joined by "\\n".
 
-    With article or main elements in the page, text beside them weighs nothing and any text within
-    makes a surge.  Without, a stretch begins where a window's sum is over ``surge`` characters and
-    ends where it is 0, and it goes on over short lines in between.  If nothing surges, every line that is
-    not beside the article stays.
+    With article or main elements in the page, what is within them stays, unless it is beside the article; a hint around
+    an article counts only if there is an article without.  Without such elements, a stretch begins where a window's sum
+    is over ``surge`` characters, and before that at the lines that adjoin; it ends where a window is all short links.
+    If nothing surges, every line that is not beside the article stays.
     """
     lines = blocks(html)
-    marked = any(w and not b for _, b, w in lines)
-    weight = np.array([0 if b or (marked and not w) else len(t) for t, b, w in lines], np.int64)
-    if not weight.any():
+    inner = [(t, b) for t, b, w, _ in lines if w and b < 2]
+    if inner:
+        least = min(b for _, b in inner)
+        return "\n".join(t for t, b in inner if b == least)
+    lines = [(t, link) for t, b, _, link in lines if not b]
+    if not lines:
         return ""
+    weight = np.array([0 if link and len(t) <= surge else len(t) for t, link in lines], np.int64)
     sums = np.convolve(weight, np.ones(window, np.int64))[window - 1 :]  # of a line and those after it
-    over, inside, kept = 0 if marked else surge, False, []
-    for i, (text, _, _) in enumerate(lines):
-        if not inside and sums[i] > over and weight[i]:
-            inside = True
+    inside, kept = False, np.zeros(len(lines), bool)
+    for i in range(len(lines)):
+        if not inside and sums[i] > surge and weight[i]:
+            inside, k = True, i
+            while k and weight[k - 1] and not kept[k - 1]:
+                k -= 1
+            kept[k:i] = True
         elif inside and sums[i] == 0:
             inside = False
-        if inside and weight[i]:
-            kept.append(text)
-    return "\n".join(kept or [t for (t, _, _), w in zip(lines, weight, strict=True) if w])
+        kept[i] |= inside
+    return "\n".join([t for (t, _), x in zip(lines, kept, strict=True) if x] or [t for t, _ in lines])
 
 
 def extract(pages: DataFrame, name: str = "main_text", window: int = 3, surge: int = 80) -> DataFrame:

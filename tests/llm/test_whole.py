@@ -6,7 +6,7 @@ import random
 from collections import Counter
 
 import corpus_pipeline
-from kinweave.llm import lines, queries, toxicity
+from kinweave.llm import html, lines, queries, toxicity
 
 WORDS = "the of and to in is that it was for on are as with his they at be this from have or by one had not but what all were when we there can an your which their said".split()
 
@@ -127,3 +127,17 @@ def test_light_noise_is_decoded():
     assert r.text("y o u i d i o t") == "you idiot" and {"you", "idiot"} <= r.features("y o u i d i o t")
     clean = "all will well happy known hello too good can't well-known see,all 3.14 i-a"
     assert r.text(clean) == clean
+
+
+def test_main_text_keeps_short_lines_and_hinted_wrappers():
+    long = "long sentence " * 25
+    assert html.main_text(f"<ul><li><a>x</a><li><a>y</a></ul><h1>Headline of it</h1><p>By one</p><p>Monday</p><p>{long}</p>") == f"Headline of it\nBy one\nMonday\n{long.strip()}"
+    advert = "<div class='ad'><p>a</p><p>b</p><p>c</p></div>"
+    assert html.main_text(f"<p>{long}</p>{advert}<p>The end.</p>") == f"{long.strip()}\nThe end."
+    links = "".join(f"<div><a>link {i}</a></div>" for i in range(6))
+    assert html.main_text(f"{links}<p>{long}</p>{links}<p>Copyright</p>") == long.strip()
+    for wrapper in ("with-sidebar", "has-sidebar", "social", "page search"):
+        page = f"<div class='{wrapper}'><article><h1 class='page-header'>Head</h1><div class='entry-header'>By one</div><p>Text</p>{advert}</article></div><p>Else</p>"
+        assert html.main_text(page) == "Head\nBy one\nText", wrapper
+    assert html.main_text("<article><p>Text</p></article><div class='comments'><article><p>First!</p></article></div>") == "Text"
+    assert html.main_text("<div class='social'><main><p>Text</p></main></div>") == "Text"
