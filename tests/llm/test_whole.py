@@ -141,3 +141,9 @@ def test_main_text_keeps_short_lines_and_hinted_wrappers():
         assert html.main_text(page) == "Head\nBy one\nText", wrapper
     assert html.main_text("<article><p>Text</p></article><div class='comments'><article><p>First!</p></article></div>") == "Text"
     assert html.main_text("<div class='social'><main><p>Text</p></main></div>") == "Text"
+
+
+def test_repeated_rows_have_lines_of_their_own(spark):
+    df = spark.createDataFrame([(1, "one two three four five six\nshort")] * 5, "doc_id long, text string")
+    assert {(r["place"], r["len"]) for r in lines.line_prints(df).collect()} == {(0, 6)}
+    assert {r["n_removed"] for r in lines.dedup_lines(df).collect()} == {0}
