@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
@@ -51,12 +53,24 @@ def forget(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def tidy(df: DataFrame) -> DataFrame:
+    """``df``, after the driver let go of shuffles that no plan refers to any more, so that executors delete their files."""
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
+    return df
+
+
 def forget_own() -> None:
     """Delete the stand-in for ``spark.checkpoint.dir``."""
     if base := _OWN.pop("base", None):
         shutil.rmtree(urlparse(base).path, ignore_errors=True)
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` names it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that ``df`` doesn't have, whatever its case."""
     taken = {c.lower() for c in df.columns}
@@ -99,4 +113,6 @@ def connected_groups(edges: DataFrame, node: str = "node", root: str = "root") -
             break
         before = mark
     star = now.select(F.col("u").alias(node), F.col("v").alias(root))
-    return star.unionByName(now.select(F.col("v").alias(node), F.col("v").alias(root)).distinct())
+    out = star.unionByName(now.select(F.col("v").alias(node), F.col("v").alias(root)).distinct())
+    out.kinweave_folder = now.kinweave_folder
+    return out

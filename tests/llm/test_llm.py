@@ -273,12 +273,8 @@ def test_secrets(spark):
 # 6
 
 
-def plain_lines(rows, bits=3, similarity=0.8, min_words=5):
-    norm = lambda x: re.sub(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\xBF -⁯　-〿]+", " ", x.lower()).strip(" ")
-
-    def print_of(t):
-        hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in t.split(" ")]
-        return sum(1 << i for i in range(64) if 2 * sum(h >> i & 1 for h in hashes) > len(hashes))
+def plain_lines(rows, similarity=0.8, min_words=5):
+    norm = lambda x: " ".join("".join(c if c.isalnum() else " " for c in x.lower()).split())
 
     def distance(a, b):
         row = list(range(len(b) + 1))
@@ -289,9 +285,9 @@ def plain_lines(rows, bits=3, similarity=0.8, min_words=5):
         return row[-1]
 
     seen = [(d, k, norm(x)) for d, t in rows for k, x in enumerate((t or "").split("\n"))]
-    seen = [s for s in seen if s[2].count(" ") >= min_words - 1]
+    seen = [s for s in seen if s[2]]
     texts = sorted({s[2] for s in seen})
-    parent, prints = {t: t for t in texts}, {t: print_of(t) for t in texts}
+    parent = {t: t for t in texts}
 
     def find(x):
         while parent[x] != x:
@@ -299,10 +295,9 @@ def plain_lines(rows, bits=3, similarity=0.8, min_words=5):
         return x
 
     for a, b in itertools.combinations(texts, 2):
-        if (prints[a] ^ prints[b]).bit_count() <= bits:
-            x, y = a.split(" "), b.split(" ")
-            if distance(x, y) <= math.floor((1 - similarity) * max(len(x), len(y)) + 1e-9):
-                parent[find(a)] = find(b)
+        x, y = a.split(" "), b.split(" ")
+        if min(len(x), len(y)) >= min_words and distance(x, y) <= math.floor((1 - similarity) * max(len(x), len(y)) + 1e-9):
+            parent[find(a)] = find(b)
     kept, gone = set(), Counter()
     for d, k, t in sorted(seen):
         if find(t) in kept:
@@ -340,12 +335,22 @@ def test_lines_odd(odd, nothing):
     assert lines.dedup_lines(nothing).count() == 0
 
 
-def test_long_lines_are_counted_in_chunks(spark):
+def test_very_long_lines(spark):
     words = [f"w{i % 3001}" for i in range(70001)]
-    got = lines.line_prints(spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")).first()
-    hashes = np.array([xxhash.xxh64_intdigest(w.encode(), 42) for w in words], np.uint64)
-    want = sum(1 << i for i in range(64) if 2 * int((hashes >> np.uint64(i) & np.uint64(1)).sum()) > len(words))
-    assert got["fp"] % 2**64 == want and got["len"] == 70001
+    other = [*words[:100], "x", *words[101:69000], "y", "z", *words[69000:]]
+    got = lines.dedup_lines(spark.createDataFrame([(1, " ".join(words)), (2, " ".join(other)), (3, " ".join(words[:50000]))], "doc_id long, text string"))
+    assert {r["doc_id"]: r["n_removed"] for r in got.collect()} == {1: 0, 2: 1, 3: 0}
+
+
+def test_a_phrase_in_very_many_lines(spark):
+    """Lines that share a long passage and little else stay; those that are little else go."""
+    passage, rows = text_of(60, 1), []
+    for k in range(150):
+        rows.append((k, f"{text_of(10 + 3 * (k % 40), 100 + k)} {passage} {text_of(12, 900 + k)}"))
+    for k in range(150, 200):
+        rows.append((k, f"{text_of(k % 5, 100 + k)} {passage} {text_of(k % 4, 500 + k)}"))
+    got = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"] for r in got.where("n_removed > 0").collect()} == {d for d, _ in plain_lines(rows)}
 
 
 # 7

@@ -51,7 +51,7 @@ def test_edit_similarity_alone_links_lines(spark):
             a, b = find(a), find(b)
             parent[max(a, b)] = min(a, b)
     df = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(texts)], "doc_id long, text string")
-    kept = {r["doc_id"] for r in lines.dedup_lines(df, bits=None).collect() if not r["n_removed"]}
+    kept = {r["doc_id"] for r in lines.dedup_lines(df).collect() if not r["n_removed"]}
     assert kept == {i for i in range(len(texts)) if find(i) == i} and len(kept) < len(texts) // 2
 
 
@@ -94,7 +94,7 @@ def test_short_and_unspaced_lines(spark):
     blob = "q7x" * 30
     rows = [(1, f"All rights reserved.\n\n{chinese}\n{thai}\n{blob}\none two"), (2, f"all rights reserved\n\n{chinese.replace('很多', '许多')}\n{thai}\n{blob[:50]}z{blob[50:]}\none too")]
     rows.append((3, "all rights reserved\n-\n\n短的\n短的"))
-    got = {r["doc_id"]: r["text"] for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), bits=None).collect()}
+    got = {r["doc_id"]: r["text"] for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: rows[0][1], 2: "\none too", 3: "-\n\n短的"}
 
 
@@ -145,5 +145,5 @@ def test_main_text_keeps_short_lines_and_hinted_wrappers():
 
 def test_repeated_rows_have_lines_of_their_own(spark):
     df = spark.createDataFrame([(1, "one two three four five six\nshort")] * 5, "doc_id long, text string")
-    assert {(r["place"], r["len"]) for r in lines.line_prints(df).collect()} == {(0, 6)}
-    assert {r["n_removed"] for r in lines.dedup_lines(df).collect()} == {0}
+    assert {(r["place"], r["words"]) for r in lines.lines(df).collect()} == {(0, 6), (1, 1)}
+    assert {(r["text"], r["n_removed"]) for r in lines.dedup_lines(df).collect()} == {(df.first()["text"], 0)}
