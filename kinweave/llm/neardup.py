@@ -6,23 +6,23 @@ bits apart, and every pair at most 2 bits apart comes to one.  No more than 65 f
 within 1 bit of a value, so a meeting is small however large a group of copies is: copies have one
 fingerprint, which is dealt out once.
 
-Fingerprints of 2 bits find little beyond exact copies.  ``similar_components`` groups documents by the
-Jaccard similarity of their shingles itself, without leaving out a pair.
+Fingerprints of 2 bits find little beyond exact copies.  ``similar_groups`` groups documents by the Jaccard similarity
+of their shingles: documents meet on their smallest shingles' hashes, and the whole sets of those that meet are compared.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .prefix import let, similar_groups
-from .shared import connected_groups, unused, written
+from .meet import few_pairs, meetings, neighbours, unresolved
+from .shared import connected_groups, forget, tidy, written
 
 _CHUNK = 1 << 16
 
@@ -103,61 +103,69 @@ def components(docs: DataFrame, bits: int = 2, width: int = 3, seed: int = 42) -
 
 
 def shingle_sets(docs: DataFrame, width: int = 5) -> DataFrame:
-    """doc_id, h, shingles: the distinct ``width``-word shingles of each text in lower case, as ascending hashes; h is a hash of the set.
+    """``docs`` with shingles: the distinct ``width``-word shingles of each text in lower case, as ascending hashes, instead of its text.
 
     Words are runs of anything but ASCII white space.  A text with fewer words has one shingle of them all (null text: as empty).
+    Every select is a step of its own, so that nothing is computed twice.
     """
+    columns = [c for c in docs.columns if c != "text"]
+    words = F.array_remove(F.split(F.translate(F.lower(F.coalesce("text", F.lit(""))), "\t\n\x0b\x0c\r", "     "), " "), "")
+    got = docs.select(*columns, F.transform(words, lambda w: F.xxhash64(w)).alias("hashes"))
+    places = F.sequence(F.lit(0), F.greatest(F.size("hashes") - width, F.lit(0)))
+    each = F.transform(places, lambda i: F.xxhash64(*[F.get("hashes", i + k) for k in range(width)]))
+    return got.select(*columns, F.sort_array(F.array_distinct(each)).alias("shingles"))
 
-    def of(words: Column) -> Column:
-        def shingle(i: Column) -> Column:
-            return F.xxhash64(*[F.get(words, i + k) for k in range(width)])
 
-        return F.array_sort(F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - width, F.lit(0))), shingle)))
+def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, most: int = 8) -> tuple[DataFrame, DataFrame]:
+    """doc_id, t, h of each row of ``docs`` (t: a hash of the text, h: of its set of shingles), and the connected groups (h, root) of the sets.
 
-    words = F.split(F.trim(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), r"[\x20\x09-\x0D]+", " ")), " ")
-    sets = docs.select("doc_id", let(F.transform(words, lambda w: F.xxhash64(w)), of).alias("shingles"))
-    return sets.select("doc_id", F.xxhash64("shingles").alias("h"), "shingles")
-
-
-def similar_components(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """doc_id, component_id: as ``components``, linking all documents whose shingles have a Jaccard similarity of at least ``similarity``.
-
-    Sets of a and b shingles that similar share at least ``similarity`` times the larger, so one of the first
-    (1 - similarity) * a + 1 of each.  Every pair that meets there and can share enough is checked.
+    Sets link if their Jaccard similarity is ``similarity`` at least.  They meet if one of their ``most`` smallest hashes
+    is the same, which two sets that similar miss with a chance of (1 - similarity) ** most: 3 in a million.  On hashes that over
+    ``FEW`` sets share, those that are not connected are compared with the next in size only.
     """
-    sets = written(shingle_sets(docs, width), "shingles")
-    n = F.size("shingles")
-    most = F.floor((1 - similarity) * n + 1e-9).cast("int") + 1
-    keys = sets.select("h", n.alias("len"), F.posexplode(F.slice("shingles", 1, most)).alias("at", "key")).select("key", "h", "len", "at")
-    share = F.lit(similarity / (1 + similarity)) - 1e-9
-    # The first shared one leaves no more to share than the shorter rest.
-    near = F.least(F.col("len") - F.col("at"), F.col("lem") - F.col("bt")) >= share * (F.col("len") + F.col("lem"))
+    sets = shingle_sets(docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit("\0null"))).alias("t"), "text"), width)
+    sets = written(sets.select("doc_id", "t", F.xxhash64("shingles").alias("h"), F.size("shingles").cast("long").alias("la"), F.slice("shingles", 1, most).alias("some")), "sets")
+    distinct = sets.groupBy("h").agg(F.min(F.struct("t", "doc_id")).alias("o"), F.first("la").alias("la"), F.first("some").alias("some"))
+    distinct = tidy(written(distinct, "distinct"))
+    met = tidy(written(meetings(distinct.select(F.explode("some").alias("key"), "h", "la")), "meetings"))
+    near = F.least("la", "lb") >= F.lit(similarity) * F.greatest("la", "lb")
+    pairs = neighbours(met, near)
+    asked = met.where("n > 2").select("h").unionByName(pairs.select("h")).unionByName(pairs.select(F.col("g").alias("h"))).distinct()
+    want = distinct.join(asked, "h").select("h", F.col("o.doc_id").alias("d"), F.col("o.t").alias("x"))
+    own = docs["doc_id"].eqNullSafe(F.col("d")) & (F.xxhash64(F.coalesce("text", F.lit("\0null"))) == F.col("x"))
+    whole = tidy(written(shingle_sets(docs.select("doc_id", "text").join(want.hint("merge"), own).select("h", "text"), width).dropDuplicates(["h"]), "whole"))
 
     def similar(pairs: DataFrame) -> DataFrame:
-        asked = pairs.select("h").unionByName(pairs.select(F.col("g").alias("h"))).distinct()
-        of = written(sets.join(asked, "h").select("h", "shingles").dropDuplicates(["h"]), "sets")
-        both = pairs.join(of, "h").join(of.select(F.col("h").alias("g"), F.col("shingles").alias("others")), "g")
+        both = pairs.join(whole, "h").join(whole.select(F.col("h").alias("g"), F.col("shingles").alias("others")), "g")
         both = both.withColumn("both", F.size(F.array_intersect("shingles", "others")))
-        return both.where(F.col("both") >= share * (F.size("shingles") + F.size("others"))).select(F.col("h").alias("u"), F.col("g").alias("v"))
+        return both.where(F.col("both") >= F.lit(similarity) * (F.size("shingles") + F.size("others") - F.col("both")) - 1e-9).select(F.col("h").alias("u"), F.col("g").alias("v"))
 
-    groups = similar_groups(keys.distinct(), near, similar)
-    of = sets.groupBy("h").agg(F.min("doc_id").alias("least")).join(groups, "h", "left").select("h", "least", F.coalesce("root", "h").alias("root"))
-    of = of.join(of.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("h", "component_id")
-    return sets.select("doc_id", "h").join(of, "h").select("doc_id", "component_id")
+    links = written(similar(pairs), "links")
+    groups = connected_groups(links, "h", "root", rounds=2)
+    rest = written(few_pairs(unresolved(met, groups), near).distinct(), "rest")
+    forget(groups)
+    groups = connected_groups(links.unionByName(similar(rest)), "h", "root")
+    for table in (distinct, met, whole, links, rest):
+        forget(table)
+    return sets.select("doc_id", "t", "h"), tidy(groups)
 
 
-def first_of_each(docs: DataFrame, by: Callable[..., DataFrame] = components, **how) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its group, one for each group that ``by`` finds.
+def first_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8, most: int = 8) -> DataFrame:
+    """One row of ``docs`` for each group that ``similar_groups`` finds: that with the smallest doc_id, then text hash (null doc_id last).
 
-    Where several rows have that doc_id, one stays.  Rows without a doc_id stay if their group has no other, one of them.
+    Rows are told apart by doc_id and text, so unlike texts under one doc_id, or under none, stay.  Of rows equal in
+    both one stays.  Null texts count as empty ones and are a group with them.  No rows give none.
     """
-    found = written(by(docs, **how).select("doc_id", "component_id"), "components")
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone")).distinct()
-    # Written first, so that its size is known before a join is chosen: texts are shuffled only if it is large.
-    gone = written(gone, "gone")
-    kept = docs.join(gone, docs["doc_id"].eqNullSafe(F.col("gone")), "left_anti")
-    if found.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        n = unused(docs, "n")
-        rows = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-        kept = kept.withColumn(n, F.row_number().over(rows)).where(F.col(n) == 1).drop(n)
+    sets, groups = similar_groups(docs, width, similarity, most)
+    rows = sets.groupBy("doc_id", "t", "h").agg(F.count("*").alias("n")).join(groups, "h", "left")
+    rows = rows.select("doc_id", "t", "n", F.coalesce("root", "h").alias("root"), F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "t").alias("o"))
+    least = rows.groupBy("root").agg(F.min("o").alias("least"))
+    rows = rows.join(least, "root").select(F.col("doc_id").alias("d"), F.col("t").alias("x"), "n", F.col("o").eqNullSafe(F.col("least")).alias("first"))
+    rows = written(rows.where("not first or n > 1"), "rows")
+    own = F.col("doc_id").eqNullSafe(F.col("d")) & (F.xxhash64(F.coalesce("text", F.lit("\0null"))) == F.col("x"))
+    # Both sides grow with the corpus: a sort-merge join at every size.
+    kept = docs.join(rows.select("d", "x").hint("merge"), own, "left_anti")
+    again = rows.where("first").select("d", "x")
+    if again.limit(1).count():
+        kept = kept.unionByName(docs.join(again.hint("merge"), own, "left_semi").dropDuplicates(["doc_id", "text"]))
     return kept

@@ -124,6 +124,7 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = -0.35, at_mos
 
     Null texts count as empty; they, and texts without words, have zeros and fail the base rules.
     Repeated rows are judged alike, and count as often as they occur in the raw distribution.
-    Without documents labelled as good the target is the raw corpus, and every ratio is 0.
+    A ratio equal to ``threshold`` is kept.  At -0.35 a text's n-grams are on average 0.7 times as likely in the target
+    as in the corpus: prose of any subject stays above that, runs of boilerplate and marks fall below.
     """
     return judged(docs, log_ratios(docs, trusted_sample(docs, labels, at_most), buckets), threshold, name)

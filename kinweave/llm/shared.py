@@ -80,14 +80,15 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def connected_groups(edges: DataFrame, node: str = "node", root: str = "root") -> DataFrame:
+def connected_groups(edges: DataFrame, node: str = "node", root: str = "root", rounds: int | None = None) -> DataFrame:
     """Each node of ``edges`` (columns ``u`` and ``v``, any orderable type) with its group's smallest node.
 
     Alternating large-star and small-star steps: every step is an aggregate and an equi-join on the
     edges that are left, the number of edges never grows, and the number of rounds grows with the
     logarithm of the longest chain.  Nothing but two numbers a round reaches the driver.
     A hub's edges are aggregated on the map side first; the join that follows is an inner equi-join
-    which adaptive execution can split.  Null nodes are left out; no edges give no rows.
+    which adaptive execution can split.  Null nodes are left out; no edges give no rows.  After ``rounds`` it ends:
+    nodes of one root are connected then, and those of two may be.
     """
 
     def stamp(df: DataFrame) -> tuple:
@@ -112,7 +113,17 @@ def connected_groups(edges: DataFrame, node: str = "node", root: str = "root") -
         if mark == before:
             break
         before = mark
+        if rounds is not None:
+            rounds -= 1
+            if not rounds:
+                break
+    if rounds == 0:
+        folder, now = now.kinweave_folder, now.groupBy("u").agg(F.min("v").alias("v"))
+        now.kinweave_folder = folder
     star = now.select(F.col("u").alias(node), F.col("v").alias(root))
-    out = star.unionByName(now.select(F.col("v").alias(node), F.col("v").alias(root)).distinct())
+    if rounds == 0:  # a root may have one of its own
+        out = star.unionByName(now.select(F.col("v").alias(node), F.col("v").alias(root))).groupBy(node).agg(F.min(root).alias(root))
+    else:
+        out = star.unionByName(now.select(F.col("v").alias(node), F.col("v").alias(root)).distinct())
     out.kinweave_folder = now.kinweave_folder
     return out

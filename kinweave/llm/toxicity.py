@@ -222,11 +222,12 @@ def _number(feature: str, buckets: int) -> int:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, at_most: int) -> DataFrame:
-    """text, toxic: labelled rows whose crc32(doc_id as text) mod 3 is not 1; those with the ``at_most`` smallest hashes."""
+    """text, toxic: labelled rows whose crc32(doc_id as text) mod 3 is not 1; those with the ``at_most`` smallest hashes, one row (the least text) a doc_id."""
     good = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").alias("of")).agg(F.max("toxic").alias("toxic"))
     good = good.where(F.crc32(F.col("of").cast("string").cast("binary")) % 3 != 1).orderBy(F.xxhash64("of"), "of").limit(at_most)
     # at_most rows of two numbers
-    return docs.where("text is not null").join(F.broadcast(good), F.col("doc_id") == F.col("of")).select("text", "toxic")
+    rows = docs.where("text is not null").join(F.broadcast(good), F.col("doc_id") == F.col("of")).select("of", "text", "toxic")
+    return rows.groupBy("of").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")).select("text", "toxic")
 
 
 class Model:
@@ -299,7 +300,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, at_most: int = 20_000, threshol
 
     Null and empty texts get the score of a text without any feature.  Repeated rows get equal
     scores.  ``at_most`` bounds the labelled rows that the model is fitted on.  Without labels of both classes every
-    text has the same score.
+    text has the same score.  No rows give none.  Texts and their parts are decoded whole, however long.
     """
     spark = docs.sparkSession
     counts = {r["at"]: r["n"] for r in trigram_counts(docs).collect()}  # at most (letters + 1) ** 3 rows

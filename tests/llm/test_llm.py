@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -221,6 +222,62 @@ def test_channel(spark, odd):
     assert "loser" in r.features("a L0S3R! b") and r.features("") == set()
 
 
+def plain_decode(log, noisy):
+    """The likeliest of all readings of a noisy word, by going through every one."""
+    low = noisy.lower()
+    gap = [not (c.isalnum() or c in toxicity.SIGNS) for c in low]
+    spaced = len(low) > 2 and all(g == i % 2 for i, g in enumerate(gap))
+    runs = [len(list(g)) for _, g in itertools.groupby(c for c, g in zip(low, gap, strict=True) if not g)]
+    pair = toxicity._PAIR / max(1, runs.count(2))
+    drops = [toxicity._DROP if n > 2 else pair for n in runs for _ in range(n)]
+    best = [-1e30, ""]
+
+    def walk(i, letter, a, b, cost, said):
+        """From character i; ``letter`` counts those that are no gaps, a and b are the last two letters said."""
+        if i == len(low):
+            cost += float(log[a, b, 0]) if (a, b) != (0, 0) else 0.0
+            if cost > best[0] + 1e-6:
+                best[:] = cost, said
+            return
+        c = low[i]
+        if gap[i]:
+            if (a, b) != (0, 0):
+                walk(i + 1, letter, a, b, cost + (0.0 if spaced else toxicity._SKIP), said)
+            end = ((toxicity._BREAK if spaced else 0.0) + float(log[a, b, 0])) if (a, b) != (0, 0) else 0.0
+            walk(i + 1, letter, 0, 0, cost + end, said + c)
+            return
+        for x in toxicity.SIGNS.get(c, ""):
+            walk(i + 1, letter + 1, b, toxicity.place(x), cost + toxicity._REPLACE + float(log[a, b, toxicity.place(x)]), said + x)
+        if c.isalpha() or c not in toxicity.SIGNS:
+            walk(i + 1, letter + 1, b, toxicity.place(c), cost + (0.0 if c.isalpha() else toxicity._SAME) + float(log[a, b, toxicity.place(c)]), said + c)
+        before = [x for x, g in zip(low[:i], gap[:i], strict=True) if not g]
+        if before and before[-1] == c and (a, b) != (0, 0):
+            walk(i + 1, letter + 1, a, b, cost + drops[letter], said)
+
+    walk(0, 0, 0, 0, 0.0, "")
+    return best[1]
+
+
+def test_viterbi_finds_the_best_of_all_readings():
+    draw = random.Random(21)
+    counts = Counter()
+    for w in [*WORDS, *"idiot stupid loser trash happy little".split()] * 30:
+        p = [0, 0, *map(toxicity.place, w), 0]
+        counts.update((p[i] * toxicity._N + p[i + 1]) * toxicity._N + p[i + 2] for i in range(len(p) - 2))
+    language = toxicity.Language(counts)
+    for _ in range(150):
+        word = draw.choice(["idiot", "stupid", "loser", "happy", "all", "little"])
+        noisy = "".join(draw.choice([c, c, c * 2, c * 3, *[k for k, v in toxicity.SIGNS.items() if c in v]]) + draw.choice(["", "", "", "."]) for c in word)[:9]
+        assert language.decode(noisy) == plain_decode(language.log, noisy), noisy
+
+
+def test_toxicity_of_nothing(spark, nothing):
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    assert toxicity.toxicity(nothing, labels).count() == 0
+    many = documents(spark, [(1, "you idiot", "en", "a", 1)] * 50 + [(2, "a fine day", "en", "a", 1)] * 3)
+    assert toxicity.training_rows(many, labels, 10).count() == sum(zlib.crc32(d) % 3 != 1 for d in (b"1", b"2"))
+
+
 def test_toxicity_learns_and_is_blind_to_held_out_labels(spark):
     def row(i):
         bad = i % 5 == 0
@@ -270,6 +327,41 @@ def test_secrets(spark):
     assert secrets.secrets(documents(spark, rows).limit(0)).count() == 0
 
 
+def test_ownership_decides_on_loose_values(spark):
+    """Counts of owners and documents, live and kept, recomputed from the texts."""
+    draw = random.Random(12)
+    token = lambda k: "".join(random.Random(k).choices("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghkmnpqrstuvwxyz23456789", k=28)) + "7Qz"
+    rows = []
+    for i in range(120):
+        said = [f"key {token(1)} copied"] * (i % 3 == 0) + [f"own {token(100 + i % 9)} here"] * (i % 2) + [f"secret={token(200 + i % 5)}"] * (i % 4 == 0) + [f"bare {token(200 + i % 5)}"] * (i % 7 == 0)
+        rows.append((i, " ".join([text_of(5, i), *said]), "en", None if i % 10 == 9 else f"s{i % 4}", 1))
+    draw.shuffle(rows)
+    rows += rows[:5]
+    docs_of, owners_of, named = {}, {}, set()
+    for d, text, _, source, _ in rows:
+        for _, _, kind, value, _ in secrets.candidates(text):
+            docs_of.setdefault(value, set()).add((d, source))
+            owners_of.setdefault(value, set()).add(source)
+            if kind != "loose":
+                named.add(value)
+    live = {v: not (len(owners_of[v]) >= 3 and len(docs_of[v]) >= 10) for v in docs_of}
+    want = sorted((d, [(a, b, k, len(docs_of[v]), len(owners_of[v]), live[v]) for a, b, k, v, _ in secrets.candidates(t) if k != "loose" or live[v] and (b - a >= 20 and secrets.entropy(v) >= 3.5 or v in named)]) for d, t, *_ in rows)
+    more = documents(spark, rows).withColumn("spans", F.lit(1)).withColumn("value_hash", F.lit("x"))
+    got = sorted((r["doc_id"], [(s["start"], s["end"], s["kind"], s["n_docs"], s["n_owners"], s["live"]) for s in r["spans"]]) for r in secrets.secrets(more).collect())
+    assert got == want and set(live.values()) == {True, False}
+    kinds = [s[2] for _, spans in want for s in spans]
+    assert kinds.count("loose") > 50 and not live[token(1)] and live[token(100)]
+    text = {d: t for d, t, *_ in rows}
+    assert not any(text[d][a:b] == token(1) for d, spans in got for a, b, *_ in spans)
+
+
+def test_long_texts_take_linear_time():
+    for bad in ("eyJaaaaaaaa-" * 50_000, "a" * 500_000, "password" + " " * 300_000, "-----BEGIN " * 50_000 + "PRIVATE KEY-----", "secret" * 80_000, "a1" * 250_000 + "===" * 1000, "Bearer " * 80_000):
+        began = time.process_time()
+        secrets.candidates(bad)
+        assert time.process_time() - began < 5
+
+
 # 6
 
 
@@ -369,9 +461,46 @@ def test_main_text():
     assert html.main_text("a < b <!-- c") == "a < b"
 
 
+def test_windows_alone_find_the_article():
+    """Without article elements, and with wrong ones."""
+    draw = random.Random(11)
+    for k in range(30):
+        body = [f"{text_of(draw.randrange(12, 60), 50 * k + i)}" for i in range(draw.randrange(2, 7))]
+        head, menu = text_of(5, 7000 + k), "".join(f"<li><a href='/{i}'>{text_of(2, i)}</a>" for i in range(8))
+        page = f"<div><ul>{menu}</ul></div><div><h2>{head}</h2>" + "".join(f"<p>{x}" for x in body) + f"</div><div>{menu}</div><div>Copyright {text_of(30, k)}</div>"
+        assert html.main_text(page) == "\n".join([head, *body])
+    assert html.main_text(f"<article><p>x</p></article><div>{'long body ' * 30}</div>") == "x\n" + ("long body " * 30).strip()
+
+
+def test_window_sums_and_stretches():
+    draw = random.Random(2)
+    for _ in range(200):
+        w = [draw.choice((0, 0, 5, 30, 90)) for _ in range(draw.randrange(1, 30))]
+        sums = [sum(w[i : i + 3]) for i in range(len(w))]
+        assert html.window_sums(w, 3) == sums
+        inside, want = False, []
+        for i, x in enumerate(w):
+            inside = sums[i] > 0 if inside else sums[i] > 80 and x > 0
+            want.append(inside)
+        for i in reversed(range(len(w) - 1)):  # weighty lines before a surge
+            want[i] = want[i] or want[i + 1] and w[i] > 0
+        assert html.stretches(w) == want
+
+
+def test_odd_pages_take_linear_time():
+    for bad in ('<a "' * 200_000, "<a ' >" * 200_000, "<div>" * 100_000, "<b>" + "</i>" * 200_000, "<!--" * 200_000, "<script>" * 100_000, "<p \"'" * 100_000 + ">" * 500):
+        began = time.process_time()
+        html.main_text(bad)
+        assert time.process_time() - began < 10
+    deep = "<div>" * 9000
+    assert html.main_text(f"{deep}<nav>Menu</nav><article>Text</article>") == "Text"
+
+
 def test_extract(spark):
     pages = spark.createDataFrame([(1, "u", None), (2, "u", ""), (3, "u", "<p>é &lt;x&gt;</p>")], "page_id long, url string, html string")
     assert [r["main_text"] for r in html.extract(pages).orderBy("page_id").collect()] == ["", "", "é <x>"]
+    clash = pages.withColumn("text", F.lit(1)).withColumn("HTML_", F.lit(2))
+    assert html.extract(clash, "main").columns == [*clash.columns, "main"] and html.extract(pages.limit(0)).count() == 0
 
 
 # 8
@@ -408,11 +537,46 @@ def test_near_duplicates(spark, odd, nothing):
     want = sorted((d, f"{prints[i]:016x}", least[find(i)]) for i, (d, _) in enumerate(rows))
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("fingerprint", F.lit(0))
     assert sorted(tuple(r) for r in neardup.components(df).collect()) == want
-    one = neardup.first_of_each(df)
-    assert one.columns == df.columns and sorted(r["doc_id"] for r in one.collect()) == sorted(set(least.values()))
     assert neardup.components(nothing).count() == 0 and neardup.components(odd).count() == odd.count()
 
 
+def plain_first(rows, width=5, similarity=0.8):
+    """The rows (doc_id, text) that stay: one of each group by Jaccard similarity, unlike texts under one doc_id apart."""
+    words = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower()) for _, t in rows]
+    sets = [{tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} for w in words]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]):
+            parent[find(a)] = find(b)
+    groups = {}
+    for i, row in enumerate(rows):
+        groups.setdefault(find(i), set()).add(row)
+    return list(groups.values())
+
+
+def test_one_document_of_each_group_stays(spark, odd, nothing):
+    a, b, c, d = (text_of(60, 3000 + k) for k in range(4))
+    near = a.split(" ")
+    near[30] = "else"
+    rows = [(1, a), (4, a), (4, b), (None, c), (None, d), (None, a), (4, b), (7, " ".join(near)), (8, None), (9, ""), (None, c), (10, "two words"), (11, "Two\twords")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("shingles", F.lit(1)).withColumn("h", F.lit(2))
+    kept = neardup.first_of_each(df)
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    groups = plain_first(rows)
+    assert kept.columns == df.columns and len(got) == len(groups) == 6
+    for group in groups:
+        ids = [x for x, _ in group if x is not None]
+        assert sum(x in group for x in got) == 1 and all(x[0] == min(ids, default=None) for x in got if x in group)
+    assert neardup.first_of_each(nothing).count() == 0
+    assert neardup.first_of_each(odd).count() == len(plain_first([(r["doc_id"], r["text"]) for r in odd.collect()]))
+
+
 @pytest.mark.parametrize("bits", [0, 1, 2, 3])
 def test_ball_hashing_finds_all_links(spark, bits):
     draw = random.Random(bits)
@@ -446,6 +610,13 @@ def plain_counts(text):
     return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(kept) - len(set(kept)), len(marked)
 
 
+def plain_grams(text):
+    """The buckets of the 1-grams and 2-grams of a text."""
+    one = [zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in re.findall(r"\w+|[^\w\s]+", text.lower())]
+    two = [((a * 0x9E3779B97F4A7C15 % 2**64) ^ (b * 0xC2B2AE3D27D4EB4F % 2**64)) >> 20 for a, b in zip(one, one[1:], strict=False)]
+    return [x % quality.BUCKETS for x in one + two]
+
+
 def test_quality(spark, odd, nothing):
     texts = ["", " \n\n ", "a b\na b\n\x1c\na b", "#*$%&|<>", "a b c d e f a b c d e x a b c d", "x " * 30, "é ü ö", text_of(300, 3) + "\n" + text_of(300, 3)]
     for t in texts:
@@ -462,8 +633,17 @@ def test_quality(spark, odd, nothing):
     assert all(got[i]["kept"] for i in range(300)) and not any(got[1000 + i]["kept"] for i in range(40))
     assert quality.quality(nothing, labels).count() == 0
     grams = {r["bucket"]: r["n"] for r in quality.gram_counts(docs).collect()}
-    want = Counter(int(b) for r in docs.collect() for b in quality.gram_buckets(r["text"] or ""))
-    assert grams == want
+    of = {r["doc_id"]: plain_grams(r["text"] or "") for r in docs.collect()}
+    every = [plain_grams(r["text"] or "") for r in docs.collect()]
+    assert grams == Counter(b for x in every for b in x)
+    # The ratio and the verdict from these counts.
+    raw, target = Counter(b for x in every for b in x), Counter(b for r in docs.join(labels.where("quality = 1"), "doc_id").collect() for b in plain_grams(r["text"] or ""))
+    share = sum(target.values()) / sum(raw.values())
+    ratio = {b: math.log((target[b] + 5) / (raw[b] * share + 5)) for b in raw}
+    for d, q in got.items():
+        if d is not None and [r[0] for r in docs.select("doc_id").collect()].count(d) == 1:
+            mean = sum(ratio[b] for b in of[d]) / len(of[d]) if of[d] else 0.0
+            assert math.isclose(q["log_ratio"], mean, abs_tol=1e-9) and q["kept"] == (not q["base_failed"] and q["log_ratio"] >= -0.35)
 
 
 # 10
