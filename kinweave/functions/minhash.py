@@ -7,7 +7,7 @@ import random
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import char_ngrams
+from .text import char_ngrams, let
 
 PRIME = (1 << 31) - 1
 
@@ -35,5 +35,8 @@ def _permuted(hashes: Column, a: int, b: int) -> Column:
 def band_keys(text: Column, n_permutations: int = 32, n_bands: int = 8, n: int = 3, seed: int = 42) -> Column:
     """An array with a key for each band: its number and its part of the signature."""
     rows = n_permutations // n_bands
-    sig = signature(shingle_hashes(text, n), n_permutations, seed)
-    return F.transform(F.sequence(F.lit(0), F.lit(n_bands - 1)), lambda b: F.concat_ws("_", b, F.array_join(F.transform(F.slice(sig, b * rows + 1, rows), lambda x: x.cast("string")), "_")))
+
+    def cut(sig: Column) -> Column:
+        return F.array(*[F.concat_ws("_", F.lit(b).cast("string"), *[sig[b * rows + k].cast("string") for k in range(rows)]) for b in range(n_bands)])
+
+    return let(shingle_hashes(text, n), lambda hashes: let(signature(hashes, n_permutations, seed), cut))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,11 @@ from pyspark.sql import functions as F
 from ..config import ADDRESS_STOPWORDS, ID_PREFIXES, LEGAL_TERMS
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` names it; a lambda's parts would each compute it again."""
+    return F.transform(F.array(value), f)[0]
+
+
 def _words(names: list[str]) -> Column:
     return F.array(*[F.lit(x) for x in names])
 
@@ -61,7 +67,7 @@ def tokens(norm: Column) -> Column:
 def core_name(name: Column) -> Column:
     """``name`` without words for the kind of firm; itself if nothing else is left."""
     core = F.array_join(F.filter(tokens(name), lambda t: ~F.array_contains(_words(LEGAL_TERMS), t)), " ")
-    return F.when(core == "", name).otherwise(core)
+    return let(core, lambda c: F.when(c == "", name).otherwise(c))
 
 
 def compact_name(name: Column) -> Column:
@@ -80,15 +86,21 @@ def address_keys(address: Column) -> Column:
     A word has four letters or more, no digit, and is no stop word.  Each of the numbers with each of the words; the
     two numbers; the two words, if there is no number.
     """
-    parts = tokens(address)
-    numbers = F.slice(F.transform(F.filter(parts, lambda t: F.regexp_like(t, F.lit(r"\p{Nd}"))), clean_number), 1, 2)
-    plain = F.filter(parts, lambda t: (F.length(t) >= 4) & ~F.regexp_like(t, F.lit(r"\p{Nd}")) & ~F.array_contains(_words(ADDRESS_STOPWORDS), t))
-    words = F.slice(plain, 1, 2)
-    crossed = F.flatten(F.transform(numbers, lambda n: F.transform(words, lambda w: F.concat(F.lit("a_nw:"), n, F.lit("_"), w))))
-    empty = F.array().cast("array<string>")
-    pair = F.when(F.size(numbers) >= 2, F.array(F.concat(F.lit("a_nn:"), F.array_join(numbers, "_")))).otherwise(empty)
-    bare = F.when((F.size(numbers) == 0) & (F.size(words) >= 2), F.array(F.concat(F.lit("a_ww:"), F.array_join(words, "_")))).otherwise(empty)
-    return F.concat(crossed, pair, bare)
+    digit = r"\p{Nd}"
+
+    def keys(numbers: Column, words: Column) -> Column:
+        crossed = F.flatten(F.transform(numbers, lambda n: F.transform(words, lambda w: F.concat(F.lit("a_nw:"), n, F.lit("_"), w))))
+        empty = F.array().cast("array<string>")
+        pair = F.when(F.size(numbers) >= 2, F.array(F.concat(F.lit("a_nn:"), F.array_join(numbers, "_")))).otherwise(empty)
+        bare = F.when((F.size(numbers) == 0) & (F.size(words) >= 2), F.array(F.concat(F.lit("a_ww:"), F.array_join(words, "_")))).otherwise(empty)
+        return F.concat(crossed, pair, bare)
+
+    def of(parts: Column) -> Column:
+        numbers = F.slice(F.transform(F.filter(parts, lambda t: F.regexp_like(t, F.lit(digit))), clean_number), 1, 2)
+        plain = F.filter(parts, lambda t: (F.length(t) >= 4) & ~F.regexp_like(t, F.lit(digit)) & ~F.array_contains(_words(ADDRESS_STOPWORDS), t))
+        return let(numbers, lambda n: let(F.slice(plain, 1, 2), lambda w: keys(n, w)))
+
+    return let(tokens(address), of)
 
 
 def char_ngrams(text: Column, n: int = 3) -> Column:
@@ -100,8 +112,11 @@ def char_ngrams(text: Column, n: int = 3) -> Column:
 
 def token_pairs(words: Column) -> Column:
     """Pairs "a_b" of the first four of some distinct words in order: six at most."""
-    four = F.slice(F.array_sort(F.array_distinct(words)), 1, 4)
-    return F.flatten(F.transform(four, lambda a, i: F.transform(F.filter(four, lambda b, j: j > i), lambda b: F.concat(a, F.lit("_"), b))))
+
+    def of(four: Column) -> Column:
+        return F.flatten(F.transform(four, lambda a, i: F.transform(F.filter(four, lambda b, j: j > i), lambda b: F.concat(a, F.lit("_"), b))))
+
+    return let(F.slice(F.array_sort(F.array_distinct(words)), 1, 4), of)
 
 
 def parse_id_list(raw: Column) -> Column:

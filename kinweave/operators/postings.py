@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from ..config import BlockingConfig
 from ..functions import minhash, text
+from .stored import written
 
 #: Rules whose keys are dropped when too many records have them.
 FREQUENCY_RULES = ("rare_token", "token_pair", "address_key")
@@ -78,23 +79,22 @@ def first_rows(keys: DataFrame, by: list[str], order: list, most: int) -> DataFr
     return keys.withColumn("_rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_rank") <= most).drop("_rank")
 
 
-def postings(targets: DataFrame, cfg: BlockingConfig, scope: tuple[str, ...] = ()) -> DataFrame:
+def postings(targets: DataFrame, cfg: BlockingConfig, scope: tuple[str, ...] = (), keys: DataFrame | None = None) -> DataFrame:
     """target_keys without over-frequent keys, and of each key the first postings in the order of ``ord`` and entity_id.
 
     The keys to drop are aggregated first and removed by an anti-join, so that no group of a window
-    is as large as the most frequent word's.
+    is as large as the most frequent word's.  ``keys`` are the targets' keys, if they are written already.
     """
-    keys = target_keys(targets, cfg)
+    keys = written(target_keys(targets, cfg), "keys") if keys is None else keys
     limit = F.create_map(*[x for rule, n in (("rare_token", cfg.blocking_max_token_doc_freq), ("token_pair", cfg.blocking_max_pair_token_freq), ("address_key", cfg.blocking_max_addr_key_freq)) for x in (F.lit(rule), F.lit(n))])
     often = key_frequencies(keys.where(F.col("rule").isin(*FREQUENCY_RULES)), scope).where(F.col("df") > limit[F.col("rule")]).drop("df")
     kept = keys.join(often, [*scope, "rule", "key"], "left_anti")
-    by, order = [*scope, "rule", "key"], ["ord", "entity_id"]
-    pair, prefix = F.col("rule") == "token_pair", F.col("rule") == "prefix_safety_net"
-    return (
-        first_rows(kept.where(~pair & ~prefix), by, order, cfg.blocking_max_posting_len)
-        .unionByName(first_rows(kept.where(pair), by, order, cfg.blocking_max_pair_token_freq))
-        .unionByName(first_rows(kept.where(prefix), by, order, cfg.blocking_safety_net_max_bucket))
-    )
+    caps = {"token_pair": cfg.blocking_max_pair_token_freq, "prefix_safety_net": cfg.blocking_safety_net_max_bucket}
+    at = Window.partitionBy(*scope, "rule", "key").orderBy("ord", "entity_id")
+    # The largest cap is a literal, which cuts each task's groups before the shuffle; a rule's own cap follows.
+    ranked = kept.withColumn("_rank", F.row_number().over(at)).where(F.col("_rank") <= max(cfg.blocking_max_posting_len, *caps.values()))
+    own = F.when(F.col("rule") == "token_pair", caps["token_pair"]).when(F.col("rule") == "prefix_safety_net", caps["prefix_safety_net"]).otherwise(cfg.blocking_max_posting_len)
+    return ranked.where(F.col("_rank") <= own).drop("_rank")
 
 
 def bands(df: DataFrame, column: Column, cfg: BlockingConfig) -> DataFrame:
@@ -105,7 +105,7 @@ def bands(df: DataFrame, column: Column, cfg: BlockingConfig) -> DataFrame:
 
 def band_buckets(targets: DataFrame, cfg: BlockingConfig, scope: tuple[str, ...] = (), column: str = "business_name_norm") -> DataFrame:
     """MinHash postings: reach ("country" or "global"), country, band, key, entity_id; of each bucket the first."""
-    rows = bands(targets, F.col(column), cfg).select(*scope, "entity_id", "ord", F.col("country_norm").alias("country"), "band", "key")
+    rows = written(bands(targets, F.col(column), cfg).select(*scope, "entity_id", "ord", F.col("country_norm").alias("country"), "band", "key"), "bands")
     near = first_rows(rows, [*scope, "country", "band", "key"], ["ord", "entity_id"], cfg.lsh_max_bucket_size).withColumn("reach", F.lit("country"))
     far = first_rows(rows, [*scope, "band", "key"], ["ord", "entity_id"], cfg.lsh_max_bucket_size).withColumn("reach", F.lit("global"))
     return near.unionByName(far).drop("ord")

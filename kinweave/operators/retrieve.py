@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from ..config import RULE_SCORES, BlockingConfig
 from ..functions import text
 from .postings import band_buckets, bands, first_rows, key_frequencies, long_tokens, postings, query_keys, target_keys
+from .stored import written
 
 SCOPE = ("shard_id",)
 
@@ -44,9 +45,9 @@ def lsh_candidates(queries: DataFrame, targets: DataFrame, cfg: BlockingConfig,
     are very few, buckets of all countries are gone through in the same way.  Of too many the smallest ids stay.
     """
     buckets = band_buckets(targets, cfg, scope, column)
-    asked = bands(queries.select("s1_id", F.col("country_norm").alias("country"), F.col(column)), F.col(column), cfg).select("s1_id", "country", "band", "key")
+    asked = written(bands(queries.select("s1_id", F.col("country_norm").alias("country"), F.col(column)), F.col(column), cfg).select("s1_id", "country", "band", "key"), "asked")
     near = asked.where("country != ''").join(buckets.where("reach = 'country'").drop("reach"), ["country", "band", "key"]).select(*scope, "s1_id", "entity_id", "band")
-    near = _until_full(near, cfg, scope)
+    near = written(_until_full(near, cfg, scope), "near")
     got = near
     if cfg.blocking_soft_country_mode:
         counts = near.groupBy(*scope, "s1_id").agg(F.count("*").alias("start"))
@@ -64,17 +65,21 @@ def scored_matches(queries: DataFrame, targets: DataFrame, cfg: BlockingConfig |
     and the normalised columns.  Frequencies, caps and the prefix rule's trigger are per shard.
     """
     cfg = cfg or BlockingConfig()
-    rows = targets.select("shard_id", "entity_id", "ord", "business_name_norm", "business_address_norm", "country_norm")
-    posted = postings(rows, cfg, SCOPE).select(*SCOPE, "rule", "key", "entity_id")
+    targets = written(targets.select("shard_id", "entity_id", "source", "ord", "business_name_norm", "business_address_norm", "country_norm"), "targets")
+    queries = written(queries.select("s1_id", "business_name_norm", "business_address_norm", "country_norm"), "queries")
+    rows = targets.drop("source")
+    keys = written(target_keys(rows, cfg), "keys")
+    posted = written(postings(rows, cfg, SCOPE, keys).select(*SCOPE, "rule", "key", "entity_id"), "postings")
     plain = query_keys(queries, cfg).join(posted.where("rule != 'prefix_safety_net'"), ["rule", "key"]).select(*SCOPE, "s1_id", "entity_id", "rule")
     found = [plain]
     if "rare_token" in cfg.rules:
-        frequencies = key_frequencies(target_keys(rows, cfg).where("rule = 'rare_token'"), SCOPE)
+        frequencies = key_frequencies(keys.where("rule = 'rare_token'"), SCOPE)
         found.append(rare_tokens(queries, frequencies, cfg).join(posted, [*SCOPE, "rule", "key"]).select(*SCOPE, "s1_id", "entity_id", "rule"))
     if "minhash_lsh" in cfg.rules:
         found.append(lsh_candidates(queries, rows, cfg).withColumn("rule", F.lit("minhash_lsh")))
     best = _best(reduce(DataFrame.unionByName, found))
     if "prefix_safety_net" in cfg.rules:
+        best = written(best, "best")
         # Queries with few candidates, none included: all queries with all shards, less those that have enough.
         enough = best.groupBy(*SCOPE, "s1_id").agg(F.count("*").alias("n")).where(F.col("n") >= cfg.blocking_fuzzy_min_cands)
         name = F.col("business_name_norm")
@@ -138,10 +143,11 @@ def union_candidates(queries: DataFrame, targets: DataFrame, cfg: BlockingConfig
     Over the cap the candidates with the smallest ids stay.
     """
     cfg = cfg or BlockingConfig()
-    q = queries.select(F.col("s1_id").alias("id"), "country_norm", "business_name_norm", "business_address_norm")
+    q = written(queries.select(F.col("s1_id").alias("id"), "country_norm", "business_name_norm", "business_address_norm"), "queries")
+    targets = written(targets.select("entity_id", "source", "ord", "country_norm", "business_name_norm", "business_address_norm"), "targets")
     t = targets.select(F.col("entity_id").alias("id"), "ord", "country_norm", "business_name_norm", "business_address_norm")
     by = ["country_norm", "space", "key"]
-    keys = _union_keys(t, cfg, False)
+    keys = written(_union_keys(t, cfg, False), "keys")
     often = keys.where("space = 'address'").groupBy(*by).agg(F.count("*").alias("n")).where(F.col("n") > cfg.blocking_max_addr_key_freq)
     wide = keys.where("space = 'prefix'").groupBy(*by).agg(F.count("*").alias("n")).where(F.col("n") > cfg.blocking_safety_net_max_bucket)
     keys = keys.join(often.unionByName(wide).drop("n"), by, "left_anti")
@@ -174,7 +180,7 @@ def union_candidates(queries: DataFrame, targets: DataFrame, cfg: BlockingConfig
     )
     lsh = lsh.join(q.select(F.col("id").alias("s1_id"), F.col("country_norm").alias("shard_id")), ["s1_id", "shard_id"])
     found = found.unionByName(lsh.select(F.col("s1_id").alias("id"), F.col("entity_id").alias("cid"), F.lit("minhash_lsh").alias("rule")))
-    found = found.where(F.col("rule").isin(*cfg.rules)).distinct()
+    found = written(found.where(F.col("rule").isin(*cfg.rules)).distinct(), "found")
     if "prefix_safety_net" in cfg.rules:
         enough = found.groupBy("id").agg(F.countDistinct("cid").alias("n")).where(F.col("n") >= cfg.blocking_fuzzy_min_cands)
         found = found.unionByName(asked.where("space = 'prefix'").join(enough, "id", "left_anti").join(keys, by).select("id", "cid", "rule"))

@@ -110,14 +110,11 @@ for _name, _one in (("rule_exact", "exact_name"), ("rule_core", "core_name"), ("
     _QUERIES[_name] = (_rule(_one), f"WITH {_SMALL_MATCHES} SELECT s1_id, entity_id AS candidate_id FROM m0 WHERE rule = '{_one}'")
 
 
-@query(f"WITH {_SMALL_MATCHES} SELECT s1_id, cid AS candidate_id FROM near")
+@query(f"WITH {_SMALL_MATCHES} SELECT s1_id, cid AS candidate_id FROM (SELECT *, row_number() OVER (PARTITION BY s1_id, shard_id ORDER BY cid) AS rn FROM near) WHERE rn <= {SMALL.lsh_max_candidates}")
 def rule_lsh(spark, sf_dir):
     q, t = fixtures.queries_and_targets(spark, sf_dir)
     hard = BlockingConfig(**{**SMALL.__dict__, "blocking_soft_country_mode": False, "lsh_max_candidates": SMALL.lsh_max_candidates})
-    buckets = postings.band_buckets(t, hard, ("shard_id",))
-    asked = postings.bands(q.select("s1_id", F.col("country_norm").alias("country"), "business_name_norm"), F.col("business_name_norm"), hard)
-    near = asked.where("country != ''").join(buckets.where("reach = 'country'"), ["country", "band", "key"]).select("shard_id", "s1_id", "entity_id", "band")
-    return retrieve._until_full(near, hard, ("shard_id",)).select("s1_id", F.col("entity_id").alias("candidate_id"))
+    return retrieve.lsh_candidates(q, t, hard).select("s1_id", F.col("entity_id").alias("candidate_id"))
 
 
 @query(f"WITH {_SMALL_MATCHES} SELECT id AS entity_id, band, key FROM bnd")

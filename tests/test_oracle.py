@@ -10,7 +10,7 @@ from kinweave.plans import queries
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the test tables are not here")
-FAST = [n for n in queries.oracle_sql() if n not in ("scored_candidates_default", "shard_capped_candidates", "rule_prefix_net")]
+FAST = list(queries.oracle_sql())
 
 
 @pytest.fixture(scope="module")
