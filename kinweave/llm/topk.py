@@ -16,6 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .shared import written
 
@@ -165,6 +166,12 @@ class Search:
         return pd.DataFrame({"query_id": self.ids[self.at], "vec_id": self.found, "score": self.score})
 
 
+def _numbered(scalars: DataFrame, by: str, name: str, size: int) -> DataFrame:
+    """``scalars`` in runs of ``size`` in descending order of a column.  There is one row of two numbers for each block of vectors."""
+    at = Window.orderBy(F.desc(by), "id")
+    return scalars.withColumn(name, F.floor((F.row_number().over(at) - 1) / size).cast("int"))
+
+
 def top_inner_products(vectors: DataFrame, is_query, k: int = 20, scale: int = 64, block: int = 2048, query_block: int = 1024, blocks_per_task: int = 32, head: float = 0.25) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's ``k`` largest inner products with the other rows.
 
@@ -173,51 +180,64 @@ def top_inner_products(vectors: DataFrame, is_query, k: int = 20, scale: int = 6
     filled up with zeros, empty ones too.  Rows that repeat a vec_id count as one, that with the
     smallest vector.  No rows, or no queries, give no rows.
 
-    Blocks of queries and of candidates meet in tasks of at most ``blocks_per_task`` blocks of
-    candidates, which come in descending length.  The longest candidates go first, alone; the k-th
-    scores found there prune all other tasks, and what these find is cut to ``k`` rows a query each.
+    The longest candidates go first, alone; a query's k-th score there, by its own length, is the least length that can
+    serve it.  Blocks are grouped by these lengths, ``blocks_per_task`` queries' and as many candidates' blocks to a task, and
+    pairs of groups that can't serve each other are dropped while they are numbers, before any vector moves.  So a candidate moves
+    once for 32,768 queries that it may serve.  What the tasks find is cut to ``k`` rows a query each.
     """
     whole = written(whole_vectors(vectors, scale).groupBy("vec_id").agg(F.min("v").alias("v")), "whole")
     width = max(1, whole.agg(F.max(F.size("v"))).first()[0] or 0)
     spark = vectors.sparkSession
     turn = spark.sparkContext.broadcast(rotation(whole, width))  # width * width numbers
     lead = max(1, int(width * head))
-    candidates = written(_blocks(whole, width, block), "candidates")
-    queries = written(_blocks(whole.where(is_query), width, query_block).withColumn("q", F.monotonically_increasing_id()), "asked")
-    n = candidates.count()
+    number = F.monotonically_increasing_id().alias("id")
+    candidates = written(_blocks(whole, width, block).select(number, "longest", "ids", "vectors"), "candidates")
+    queries = written(_blocks(whole.where(is_query), width, query_block).select(number, "ids", "vectors"), "asked")
     top = spark.sparkContext.broadcast(candidates.orderBy(F.desc("longest"), "ids").select("ids", "vectors").first())  # one block
 
+    def search_of(ids: bytes, vectors: bytes, floors: bytes | None) -> Search:
+        at = np.frombuffer(ids, "<i8")
+        floor = np.full(len(at), -np.inf) if floors is None else np.frombuffer(floors, "<f8")
+        return Search(at, np.frombuffer(vectors, "<i8").reshape(-1, width), floor, turn.value, lead, k)
+
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, key = None, None
+        now, key = [], None
         for df in batches:
             for r in df.itertuples(index=False):
-                if key != (r.q, r.task):
-                    if now:
-                        yield now.result()
-                    key, ids = (r.q, r.task), np.frombuffer(r.asked, "<i8")
-                    floor = np.frombuffer(r.floors, "<f8") if r.floors else np.full(len(ids), -np.inf)
-                    now = Search(ids, np.frombuffer(r.by, "<i8").reshape(-1, width), floor, turn.value, lead, k)
-                if now.reaches(r.longest).any():
-                    now.add(np.frombuffer(r.ids, "<i8"), np.frombuffer(r.vectors, "<i8").reshape(-1, width))
-        if now:
-            yield now.result()
+                if key != (r.part, r.task):
+                    yield from (x.result() for x in now)
+                    key, now = (r.part, r.task), []
+                if r.floors is not None:
+                    now.append(search_of(r.ids, r.vectors, r.floors))
+                    continue
+                live = [x for x in now if x.reaches(r.longest).any()]
+                if live:
+                    ids, vectors = np.frombuffer(r.ids, "<i8"), np.frombuffer(r.vectors, "<i8").reshape(-1, width)
+                    for x in live:
+                        x.add(ids, vectors)
+        yield from (x.result() for x in now)
 
     def floors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The k-th scores among the longest candidates, one row for each block of queries."""
+        """The k-th scores among the longest candidates, and the least length that can serve any of a block's queries."""
         for df in batches:
             for r in df.itertuples(index=False):
-                ids = np.frombuffer(r.asked, "<i8")
-                now = Search(ids, np.frombuffer(r.by, "<i8").reshape(-1, width), np.full(len(ids), -np.inf), turn.value, lead, k)
+                now = search_of(r.ids, r.vectors, None)
                 now.add(np.frombuffer(top.value["ids"], "<i8"), np.frombuffer(top.value["vectors"], "<i8").reshape(-1, width))
-                yield pd.DataFrame({"q": [r.q], "asked": [r.asked], "by": [r.by], "floors": [now.floor.astype("<f8").tobytes()]})
-
-    by = queries.select("q", F.col("ids").alias("asked"), F.col("vectors").alias("by"))
-    seeded = written(by.mapInPandas(floors, "q long, asked binary, by binary, floors binary"), "floors")
-    # The walk: each task has one block of queries and some blocks of candidates, dealt out by a hash.
-    tasks = max(1, -(-n // blocks_per_task))
-    dealt = candidates.withColumn("task", F.pmod(F.xxhash64("ids"), F.lit(tasks)).cast("int"))
-    walk = seeded.withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1)))).join(dealt, "task")
-    walk = walk.repartition("q", "task").sortWithinPartitions("q", "task", F.desc("longest"))
-    found = walk.select("q", "task", "asked", "by", "floors", "longest", "ids", "vectors").mapInPandas(search, _TOP)
+                need = np.where(now.floor > 0, now.floor / np.maximum(now.length, 1e-300), -1.0)
+                yield pd.DataFrame({"id": [r.id], "ids": [r.ids], "vectors": [r.vectors], "floors": [now.floor.astype("<f8").tobytes()], "need": [float(need.min()) if len(need) else np.inf]})
+
+    seeded = written(queries.mapInPandas(floors, "id long, ids binary, vectors binary, floors binary, need double"), "floors")
+    parts = written(_numbered(seeded.select("id", "need"), "need", "part", blocks_per_task), "parts")
+    tasks = written(_numbered(candidates.select("id", "longest"), "longest", "task", blocks_per_task), "tasks")
+    last = tasks.agg(F.max("task")).first()[0]
+    lengths = tasks.groupBy("task").agg(F.max("longest").alias("longest"))
+    needs = parts.groupBy("part").agg(F.min("need").alias("need")).withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(last or 0))))
+    met = needs.join(lengths, "task").where(F.col("longest") * (1 + 1e-6) + 1e-6 >= F.col("need")).select("part", "task")
+    met = written(met, "met")
+    asked = seeded.join(parts.select("id", "part"), "id").join(met, "part").select("part", "task", F.lit(None).cast("double").alias("longest"), "ids", "vectors", "floors")
+    served = candidates.join(tasks.select("id", "task"), "id").join(met, "task").select("part", "task", "longest", "ids", "vectors", F.lit(None).cast("binary").alias("floors"))
+    # A task's queries come before its candidates, and these in descending length.
+    walk = asked.unionByName(served).repartition("part", "task").sortWithinPartitions("part", "task", F.col("longest").desc_nulls_first())
+    found = walk.mapInPandas(search, _TOP)
     ranked = found.selectExpr("query_id", "vec_id", "score", "row_number() over (partition by query_id order by score desc, vec_id) as rank")
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
