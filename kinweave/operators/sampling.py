@@ -7,16 +7,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import id_hash
+from .stored import written
 
 
 def numbered(df: DataFrame, order: list, name: str = "place") -> DataFrame:
     """``df`` with its place (from 0) in a total order, without bringing all rows to one task.
 
     Rows are range-partitioned by the order; each partition's size is counted, and a row's place is
-    its place in the partition plus the sizes before.  The sizes are one number a partition.
+    its place in the partition plus the sizes before.  The sizes are one number a partition.  The dealt
+    rows are written, so that both steps see the same cuts even if an executor is lost in between.
     """
     dealt = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
     dealt = dealt.withColumn("_part", F.shiftright("_at", 33)).withColumn("_in", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
+    dealt = written(dealt, "dealt")
     sizes = dealt.groupBy("_part").agg((F.max("_in") + 1).alias("_n"))
     before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
     return dealt.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_in")).drop("_at", "_part", "_in", "_before")

@@ -301,9 +301,9 @@ def pair_features(spark, sf_dir):
     return got.withColumns({c: F.round(c, 6) for c, k in got.dtypes if k == "double"})
 
 
-@query(None)
+@query(_EXACT_PAIRS + " SELECT DISTINCT p.s1_id, p.candidate_id, round(1 - jaro_winkler_similarity(a.name, b.name), 6) AS name_jw_distance FROM p JOIN ent a ON a.entity_id = p.s1_id JOIN ent b ON b.entity_id = p.candidate_id")
 def pair_features_jaro_winkler(spark, sf_dir):
-    return features.pair_features(_exact_pairs(spark, sf_dir)[1], fixtures.entities(spark, sf_dir)).select("s1_id", "candidate_id", "name_jw_distance")
+    return features.pair_features(_exact_pairs(spark, sf_dir)[1], fixtures.entities(spark, sf_dir)).select("s1_id", "candidate_id", F.round("name_jw_distance", 6).alias("name_jw_distance"))
 
 
 @query(_EXACT_PAIRS.replace("WITH", "WITH", 1) + f""", {oracle.TRUTH}, w AS (SELECT s1_id, unnest(ids) AS t FROM tr), cp AS (SELECT q.s1_id, t.entity_id AS t FROM q JOIN k t ON t.source <> 'source1' AND t.core = q.core AND q.core <> '')
@@ -317,7 +317,7 @@ def cumulative_rule_report(spark, sf_dir):
     return got.select("n_rules", "added", "total_pairs", "found_pairs")
 
 
-@query(None)
+@query(f"WITH {oracle.matched(BlockingConfig(), 1)} SELECT s1_id, candidate_id, source_dataset, rule_name, score FROM merged")
 def streaming_batches(spark, sf_dir):
     from ..streaming.batches import candidates_of_stream
 

@@ -14,11 +14,12 @@ from ..config import BlockingConfig
 from ..functions.text import with_normalized
 from ..operators import evaluate, retrieve, sampling, validate
 from ..sources import tables
-from ..streaming.batches import fingerprint
+from ..streaming.batches import fingerprint, hash_of, state_of
 
 GIB = 1024**3
 
 
+# The row sizes that the projections are stated for.
 @dataclass(frozen=True)
 class RowBytes:
     """Bytes of rows on disk, with a margin of a quarter: targets, queries, matches, provenance, and a list's own and each entry's."""
@@ -67,15 +68,15 @@ def preflight(folder: str, n_queries: int, n_targets: int, cfg: BlockingConfig |
     need = worst if worst_case else usual
     got = {"free_disk_gib": round(free, 2), "conservative_gib": worst, "empirical_gib": usual, "required_disk_gib": need, "available_ram_gib": memory, "required_ram_gib": None}
     if bytes_per_target is None:
-        return False, got, "Measured bytes per target are missing"
+        return False, got, "The bytes per target were not measured"
     got["required_ram_gib"] = max(cfg.min_free_ram_gb, round(cfg.shard_size_targets * bytes_per_target * cfg.ram_safety_margin / GIB + 0.5, 2))
     if free < need:
-        return False, got, f"Insufficient disk space: {free:.2f} GiB free, {need:.2f} GiB required"
+        return False, got, f"The disk has {free:.2f} GiB free where {need:.2f} GiB are needed"
     if memory is None:
-        return False, got, "Available RAM could not be measured"
+        return False, got, "How much memory is free is unknown"
     if memory < got["required_ram_gib"]:
-        return False, got, f"Insufficient available RAM: {memory:.2f} GiB, {got['required_ram_gib']:.2f} GiB required"
-    return True, got, "Resource check passed"
+        return False, got, f"{memory:.2f} GiB of memory are free where {got['required_ram_gib']:.2f} GiB are needed"
+    return True, got, "Disk and memory suffice"
 
 
 def _sides(data: dict[str, DataFrame], ids: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -85,11 +86,17 @@ def _sides(data: dict[str, DataFrame], ids: DataFrame | None = None) -> tuple[Da
     return with_normalized(s1).withColumnRenamed("entity_id", "s1_id"), with_normalized(targets).withColumn("shard_id", F.lit(0))
 
 
+def done(spark: SparkSession, path: str) -> bool:
+    """Whether Spark has written a folder whole."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
 def run(spark: SparkSession, folder: str, out: str, mode: str = "eval", ids: DataFrame | None = None, cfg: BlockingConfig | None = None, limit: int | None = None) -> tuple[DataFrame, DataFrame | None]:
     """Candidates of all queries of a folder (mode "test"), or of those in ``ids`` with their recall (mode "eval").
 
-    Writes pairs with their rules and lists below ``out``, in a folder that the inputs and parameters name, and reads
-    them again for the measures.
+    Writes pairs with their rules, lists and a summary below ``out``, in a folder that the inputs' files, the ids and the parameters
+    name.  A run that was broken off goes on after the pairs, if these were written whole.
     """
     if mode not in ("eval", "test"):
         raise ValueError(f"unknown mode {mode}")
@@ -97,11 +104,16 @@ def run(spark: SparkSession, folder: str, out: str, mode: str = "eval", ids: Dat
     q, t = _sides(tables.test_data(spark, folder), ids)
     if limit:
         q = q.orderBy("s1_id").limit(limit)
-    to = f"{out}/{mode}-{fingerprint(mode, {'folder': folder, 'limit': str(limit)}, cfg)}"
-    retrieve.scored_candidates(q, t, cfg).write.mode("overwrite").parquet(f"{to}/pairs")
+    inputs = {f: state_of(spark, f"{folder}/{f}.tsv") for f in ("source1", "source2", "source3", *(["ground_truth"] if mode == "eval" else []))}
+    to = f"{out}/{mode}-{fingerprint(mode, {**inputs, 'limit': str(limit), 'ids': hash_of(ids)}, cfg)}"
+    if not done(spark, f"{to}/pairs"):
+        retrieve.scored_candidates(q, t, cfg).write.mode("overwrite").parquet(f"{to}/pairs")
     pairs = spark.read.parquet(f"{to}/pairs")
     tables.write_tsv(retrieve.candidate_lists(q, pairs), f"{to}/candidate_pairs", tables.CANDIDATE_COLUMNS)
+    provenance = pairs.selectExpr("s1_id AS source1_entity_id", "candidate_id AS candidate_entity_id", "source_dataset", "rule_name", "score")
+    tables.write_tsv(provenance, f"{to}/candidate_provenance", provenance.columns)
     if mode == "test":
+        tables.write_summary(evaluate.candidate_stats(q, pairs, cfg.blocking_max_candidates_per_s1), f"{to}/summary")
         return pairs, None
     truth = tables.read_truth(spark, f"{folder}/ground_truth.tsv", q.select(F.col("s1_id").alias("entity_id")))
     report = evaluate.recall_metrics(truth, pairs)
