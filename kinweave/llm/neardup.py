@@ -141,11 +141,10 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, mos
         return both.where(F.col("both") >= F.lit(similarity) * (F.size("shingles") + F.size("others") - F.col("both")) - 1e-9).select(F.col("h").alias("u"), F.col("g").alias("v"))
 
     links = written(similar(pairs), "links")
-    groups = connected_groups(links, "h", "root", rounds=2)
-    rest = written(few_pairs(unresolved(met, groups), near).distinct(), "rest")
-    forget(groups)
-    groups = connected_groups(links.unionByName(similar(rest)), "h", "root")
-    for table in (distinct, met, whole, links, rest):
+    some = connected_groups(links, "h", "root", rounds=2)
+    rest = tidy(written(few_pairs(unresolved(met, some), near).distinct(), "rest"))
+    groups = connected_groups(some.select(F.col("h").alias("u"), F.col("root").alias("v")).unionByName(similar(rest)), "h", "root")
+    for table in (distinct, met, whole, links, some, rest):
         forget(table)
     return sets.select("doc_id", "t", "h"), tidy(groups)
 

@@ -3,74 +3,26 @@
 from __future__ import annotations
 
 import gc
-import shutil
-import tempfile
-import uuid
-from collections.abc import Callable
-from urllib.parse import urlparse
+import time
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_OWN: dict[str, str] = {}
+from ..functions.text import let
+from ..operators.stored import forget, forget_own, shared_folder, written
 
-
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder's URI under ``spark.checkpoint.dir``, which driver and executors all see.
-
-    Where the setting is absent (single-machine tests) a temporary folder stands in for it.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = _OWN.setdefault("base", "file://" + tempfile.mkdtemp(prefix="kinweave-"))
-    if "://" not in base and not base.startswith("file:"):
-        base = "file://" + base if base.startswith("/") else base
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again.
-
-    It cuts the lineage: a lost executor costs a re-read of files, not a re-run of the plan.  The
-    folder's URI is in the frame's ``kinweave_folder`` attribute, for ``forget``.
-    """
-    spark = df.sparkSession
-    to = shared_folder(spark, name)
-    df.write.parquet(to)
-    out = spark.read.schema(df.schema).parquet(to)
-    out.kinweave_folder = to
-    return out
-
-
-def forget(df: DataFrame) -> None:
-    """Delete what ``written`` wrote; only for tables that no later plan reads."""
-    to = getattr(df, "kinweave_folder", None)
-    if to:
-        jvm, spark = df.sparkSession._jvm, df.sparkSession
-        path = jvm.org.apache.hadoop.fs.Path(to)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+__all__ = ["connected_groups", "forget", "forget_own", "let", "shared_folder", "tidy", "unused", "written"]
 
 
 def tidy(df: DataFrame) -> DataFrame:
     """``df``, after the driver let go of shuffles that no plan refers to any more, so that executors delete their files."""
-    gc.collect()
-    df.sparkSession._jvm.System.gc()
+    for _ in range(2):  # the last query is let go of a little later than those before
+        gc.collect()
+        df.sparkSession._jvm.System.gc()
+        time.sleep(0.2)
     return df
 
 
-def forget_own() -> None:
-    """Delete the stand-in for ``spark.checkpoint.dir``."""
-    if base := _OWN.pop("base", None):
-        shutil.rmtree(urlparse(base).path, ignore_errors=True)
-
-
-def let(value: Column, f: Callable[[Column], Column]) -> Column:
-    """``f`` of a value that is computed once, however often ``f`` names it."""
-    return F.transform(F.array(value), f)[0]
-
-
 def unused(df: DataFrame, name: str) -> str:
     """A column name that ``df`` doesn't have, whatever its case."""
     taken = {c.lower() for c in df.columns}
