@@ -9,14 +9,15 @@ from ..functions.text import normalize_text, with_normalized
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """entity_id, source, ord, business_name, business_address, country, and their normalised forms, of each document."""
+    """entity_id, source, ord, business_name, business_address, country, and their normalised forms, of each document; two fifths of the names say what kind of firm it is."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     part = F.split(normalize_text(F.col("text")), " ")
     got = docs.select("doc_id", "lang", "n_chars", part.alias("t"))
     kind = F.col("doc_id") % 3 + 1
+    firm = F.when(F.col("doc_id") % 5 == 0, ", LLC.").when(F.col("doc_id") % 5 == 3, " (Holdings)").otherwise("")
     got = got.select(
         F.concat(F.lit("S"), kind, F.lit("-"), "doc_id").alias("entity_id"), F.concat(F.lit("source"), kind).alias("source"), F.col("doc_id").alias("ord"),
-        F.array_join(F.slice("t", 1, 5), " ").alias("business_name"),
+        F.concat(F.array_join(F.slice("t", 1, 5), " "), firm).alias("business_name"),
         F.trim(F.concat_ws(" ", (F.col("n_chars") % 97).cast("string"), F.array_join(F.slice("t", 6, 4), " "))).alias("business_address"),
         F.col("lang").alias("country"),
     )

@@ -13,7 +13,7 @@ def _list(words: list[str]) -> str:
 _NORM = r"trim(regexp_replace(regexp_replace(replace(lower(coalesce({0}, '')),'ß','ss'),'[\p{{P}}\p{{S}}\p{{C}}]',' ','g'),'[\s\p{{Z}}]+',' ','g'))"
 ENT = f"""ent AS (
   SELECT 'S' || (doc_id % 3 + 1) || '-' || doc_id AS entity_id, 'source' || (doc_id % 3 + 1) AS source, doc_id AS ord,
-         array_to_string(list_slice(t, 1, 5), ' ') AS name,
+         trim(array_to_string(list_slice(t, 1, 5), ' ') || CASE doc_id % 5 WHEN 0 THEN ' llc' WHEN 3 THEN ' holdings' ELSE '' END) AS name,
          trim((n_chars % 97) || ' ' || array_to_string(list_slice(t, 6, 9), ' ')) AS addr, lang AS country
   FROM (SELECT *, string_split({_NORM.format('text')}, ' ') AS t FROM documents)
 )"""
