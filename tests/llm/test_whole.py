@@ -55,6 +55,20 @@ def test_edit_similarity_alone_links_lines(spark):
     assert kept == {i for i in range(len(texts)) if find(i) == i} and len(kept) < len(texts) // 2
 
 
+def test_recall_at_the_threshold(spark):
+    """Pairs of lines at the last distance that still counts, in words that no other pair has."""
+    draw, pairs = random.Random(15), []
+    for k in range(240):
+        base = [f"w{k}x{draw.randrange(10**6)}" for _ in range((16, 20, 30, 40, 50, 60, 80, 120)[k % 8])]
+        other = list(base)
+        for at in draw.sample(range(len(base)), len(base) // 5):
+            other[at] = f"w{k}y{draw.randrange(10**6)}"
+        pairs.append((base, other))
+    rows = [(2 * i + k, " ".join(x)) for i, pair in enumerate(pairs) for k, x in enumerate(pair)]
+    got = {r["doc_id"] for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).where("n_removed > 0").collect()}
+    assert got <= {2 * i + 1 for i in range(len(pairs))} and len(got) >= 0.95 * len(pairs)
+
+
 def test_op6_links_by_edit_similarity(spark, tmp_path):
     draw = random.Random(8)
     base = line_of(60, draw)
