@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from kinweave.config import BlockingConfig
 from kinweave.functions.text import with_normalized
-from kinweave.operators import evaluate, retrieve, sampling, validate
+from kinweave.operators import evaluate, features, retrieve, sampling, validate
 from kinweave.sources import tables
 
 
@@ -113,3 +113,33 @@ def test_files_and_validation(spark, tmp_path):
     ok, errors = validate.validate_file(spark, f"{tmp_path}/m.tsv", expected, candidate_path=f"{tmp_path}/c.tsv")
     text = " | ".join(errors)
     assert not ok and "Missing 1 expected Source 1 IDs" in text and "1 unexpected Source 1 IDs" in text and "twice" in text and "not among" in text and "prefix" in text
+
+
+def test_batches_of_some_queries(spark):
+    q = spark.createDataFrame([(f"S1-{i:02d}",) for i in range(30)], "s1_id string")
+    ids = spark.createDataFrame([(f"S1-{i:02d}",) for i in range(0, 30, 2)] * 2 + [("S1-99",)], "entity_id string")
+    got = {r["s1_id"]: r["batch_id"] for r in sampling.assign_batches(q, 4, ids).collect()}
+    assert got == {f"S1-{2 * k:02d}": k // 4 for k in range(15)}
+    assert sampling.assign_batches(q, 4, ids, limit=5).count() == 5
+
+
+def test_id_map_and_reports(spark, tmp_path):
+    q = spark.createDataFrame([("S1-2",), ("S1-1",), ("S1-3",)], "s1_id string")
+    lists = spark.createDataFrame([("S1-1", ["S3-2", "S2-1", "S2-1"]), ("S1-3", [])], "s1_id string, ids array<string>")
+    tables.write_id_map(q, lists, f"{tmp_path}/map", "matched_entity_ids")
+    got = {r["s1_id"]: r["ids"] for r in tables.read_truth(spark, f"{tmp_path}/map").collect()}
+    assert got == {"S1-1": ["S2-1", "S3-2"], "S1-2": [], "S1-3": []}
+    raw = spark.createDataFrame([("S1-1", ["S2-1", "S2-1"], 2), ("S1-9", ["X-1"], 3), ("S1-1", [], 2), ("", [], 1)], "s1_id string, raw array<string>, n_columns int")
+    report = validate.candidate_report(raw, q.withColumnRenamed("s1_id", "entity_id")).first().asDict()
+    assert report == {"columns": 1, "empty_id": 1, "duplicate_id": 1, "duplicate_target": 1, "bad_prefix": 1, "missing": 2, "unexpected": 1, "rows": 4}
+
+
+def test_fused_scores_and_threshold(spark):
+    scores = spark.createDataFrame([("S1-1", "S2-1", 0.9), ("S1-1", "S2-1", 0.5), ("S1-1", "S2-2", 0.4), ("S1-2", "S2-3", 0.8)], "s1_id string, candidate_id string, match_score double")
+    assert {r["s1_id"]: r["ids"] for r in features.fused(scores, 0.7).collect()} == {"S1-1": ["S2-1"], "S1-2": ["S2-3"]}
+    truth = spark.createDataFrame([("S1-1", ["S2-1"]), ("S1-2", [])], "s1_id string, ids array<string>")
+    best = features.best_threshold(scores, truth, [0.3, 0.75, 0.95]).collect()
+    # By hand: 0.3 gives (1 + 0.5 * ...) and a false list, 0.75 one false list and a miss, 0.95 a miss alone.
+    f = {r["threshold"]: r["macro_f"] for r in best}
+    assert f[0.3] == pytest.approx((1.25 * 0.5 / (0.25 * 0.5 + 1)) / 2) and f[0.75] == 0.0 and f[0.95] == pytest.approx(0.5)
+    assert best[0]["threshold"] == 0.95
