@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .meet import few_pairs, meetings, neighbours, unresolved
+from .meet import FEW, few_pairs, meetings, neighbours, rare_pairs, unresolved
 from .shared import connected_groups, forget, tidy, written
 
 _CHUNK = 1 << 16
@@ -120,8 +120,8 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, mos
     """doc_id, t, h of each row of ``docs`` (t: a hash of the text, h: of its set of shingles), and the connected groups (h, root) of the sets.
 
     Sets link if their Jaccard similarity is ``similarity`` at least.  They meet if one of their ``most`` smallest hashes
-    is the same, which two sets that similar miss with a chance of (1 - similarity) ** most: 3 in a million.  On hashes that over
-    ``FEW`` sets share, those that are not connected are compared with the next in size only.
+    is the same, which two sets that similar miss with a chance of (1 - similarity) ** most: 3 in a million.  Sets on hashes that over
+    ``FEW`` share meet again on their rarest hashes, where they are not connected.
     """
     sets = shingle_sets(docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit("\0null"))).alias("t"), "text"), width)
     sets = written(sets.select("doc_id", "t", F.xxhash64("shingles").alias("h"), F.size("shingles").cast("long").alias("la"), F.slice("shingles", 1, most).alias("some")), "sets")
@@ -142,9 +142,13 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, mos
 
     links = written(similar(pairs), "links")
     some = connected_groups(links, "h", "root", rounds=2)
-    rest = tidy(written(few_pairs(unresolved(met, some), near).distinct(), "rest"))
-    groups = connected_groups(some.select(F.col("h").alias("u"), F.col("root").alias("v")).unionByName(similar(rest)), "h", "root")
-    for table in (distinct, met, whole, links, some, rest):
+    of = written(unresolved(met, some), "mixed")
+    hot = of.where(F.col("n") > FEW).select("h", "root").distinct()
+    lose = F.size("shingles") - F.ceil(F.lit(similarity) * F.size("shingles") - 1e-9)  # what is common is a share of either set
+    items = whole.join(hot, "h").select("h", "root", F.size("shingles").alias("la"), lose.alias("lose"), F.col("shingles").alias("parts"))
+    rest = tidy(written(few_pairs(of, near).unionByName(rare_pairs(items, near)).distinct(), "rest"))
+    groups = connected_groups(some.kinweave_edges.unionByName(similar(rest)), "h", "root")
+    for table in (distinct, met, whole, links, some, of, rest):
         forget(table)
     return sets.select("doc_id", "t", "h"), tidy(groups)
 

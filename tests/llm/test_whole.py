@@ -6,7 +6,10 @@ import random
 from collections import Counter
 
 import corpus_pipeline
-from kinweave.llm import html, lines, queries, toxicity
+from pyspark.sql import functions as F
+
+from kinweave.llm import html, lines, meet, neardup, queries, toxicity
+from kinweave.llm.shared import connected_groups
 
 WORDS = "the of and to in is that it was for on are as with his they at be this from have or by one had not but what all were when we there can an your which their said".split()
 
@@ -161,3 +164,47 @@ def test_repeated_rows_have_lines_of_their_own(spark):
     df = spark.createDataFrame([(1, "one two three four five six\nshort")] * 5, "doc_id long, text string")
     assert {(r["place"], r["words"]) for r in lines.lines(df).collect()} == {(0, 6), (1, 1)}
     assert {(r["text"], r["n_removed"]) for r in lines.dedup_lines(df).collect()} == {(df.first()["text"], 0)}
+
+
+def test_lines_on_a_common_phrase_meet(spark):
+    """Lines that share one phrase, and nothing else of their blocks, with very many lines find their partners there."""
+    draw, rows = random.Random(21), []
+    for k in range(300):  # of eight words four are the phrase, so that every block a pair has in common is
+        a, b, c, d = (f"w{k}{x}" for x in "abcd")
+        rows += [(2 * k, f"{a} {b} the common phrase here {c} {d}"), (2 * k + 1, f"{a} {b} the common phrase here {c} other{draw.randrange(10**6)}")]
+    made = spark.createDataFrame([(i, 0x10000 * len(t.split(" ")), i, 5, t) for i, t in rows], "h long, la long, root long, key long, line string")
+    texts = made.select("h", lines.coded(F.col("line"), 5).alias("coded"))
+    met = made.select("key", "h", "la", F.lit(None).cast("long").alias("g"), F.lit(None).cast("long").alias("lb"), F.lit(len(rows)).cast("long").alias("n"))
+    groups = made.select("h", "root").limit(0)
+    got = {(r["h"], r["g"]) for r in lines.other_pairs(met, groups, texts, 0.8).collect()}
+    assert {(2 * k, 2 * k + 1) for k in range(300)} <= got and len(got) < 1000
+
+
+def test_rare_parts_lose_no_pair(spark):
+    """Sets of few numbers, many of them frequent: all pairs that similarity asks for are among those that meet."""
+    draw = random.Random(4)
+    sets = [sorted({draw.choice((draw.randrange(12), draw.randrange(400))) for _ in range(draw.choice((2, 5, 9, 14)))}) for _ in range(150)]
+    sets += [sorted({*s[1:], 500 + i}) for i, s in enumerate(sets) if len(s) > 4]
+    for lose in (1, 2, 20):
+        items = spark.createDataFrame([(i, i, len(s), lose, s) for i, s in enumerate(sets)], "h long, root long, la long, lose long, parts array<long>")
+        got = {(r["h"], r["g"]) for r in meet.rare_pairs(items, F.lit(True)).collect()}
+        want = {(a, b) for (a, x), (b, y) in itertools.combinations(enumerate(sets), 2) if max(len(x), len(y)) - len({*x} & {*y}) <= lose}
+        assert want <= got, lose
+
+
+def test_near_copies_on_common_shingles_meet(spark):
+    """Documents that share a long passage with many others are compared with all that are alike, not with the next in size only."""
+    draw, passage = random.Random(5), [f"p{i}" for i in range(60)]
+    texts = []
+    for k in range(120):
+        own = [f"d{k}x{i}" for i in range(90 + draw.randrange(3))]
+        texts += [passage + own, passage + own[:-2] + [f"e{k}"]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = {r["doc_id"] for r in neardup.first_of_each(spark.createDataFrame(rows, "doc_id long, text string"), most=3).collect()}
+    assert got == {2 * k for k in range(120)}
+
+
+def test_edges_left_after_some_rounds_connect_all(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(80)], "u long, v long")
+    some = connected_groups(chain, rounds=2)
+    assert {r["root"] for r in connected_groups(some.kinweave_edges).collect()} == {0}
