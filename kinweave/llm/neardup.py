@@ -7,7 +7,8 @@ within 1 bit of a value, so a meeting is small however large a group of copies i
 fingerprint, which is dealt out once.
 
 Fingerprints of 2 bits find little beyond exact copies.  ``similar_groups`` groups documents by the Jaccard similarity
-of their shingles: documents meet on their smallest shingles' hashes, and the whole sets of those that meet are compared.
+of their shingles: documents meet on their smallest shingles' hashes, and the whole sets of those that meet are compared.  The pipeline
+takes the links of both.
 """
 
 from __future__ import annotations
@@ -116,15 +117,26 @@ def shingle_sets(docs: DataFrame, width: int = 5) -> DataFrame:
     return got.select(*columns, F.sort_array(F.array_distinct(each)).alias("shingles"))
 
 
-def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, most: int = 8) -> tuple[DataFrame, DataFrame]:
+def ball_links(sets: DataFrame, bits: int) -> DataFrame:
+    """u, v: edges that connect all h of ``sets`` (h, fingerprint) whose fingerprints are in one group of those at most ``bits`` bits apart."""
+    sets = sets.select("h", "fingerprint").distinct()
+    groups = connected_groups(linked_fingerprints(sets.select("fingerprint").distinct(), bits), "fingerprint", "root")
+    of = sets.join(groups, "fingerprint", "left").select("h", F.coalesce("root", "fingerprint").alias("root"))
+    return of.join(of.groupBy("root").agg(F.min("h").alias("v")), "root").where("h != v").select(F.col("h").alias("u"), "v")
+
+
+def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, most: int = 8, bits: int | None = None) -> tuple[DataFrame, DataFrame]:
     """doc_id, t, h of each row of ``docs`` (t: a hash of the text, h: of its set of shingles), and the connected groups (h, root) of the sets.
 
     Sets link if their Jaccard similarity is ``similarity`` at least.  They meet if one of their ``most`` smallest hashes
     is the same, which two sets that similar miss with a chance of (1 - similarity) ** most: 3 in a million.  Sets on hashes that over
-    ``FEW`` share meet again on their rarest hashes, where they are not connected.
+    ``FEW`` share meet again on their rarest hashes, where they are not connected.  With ``bits``, documents whose SimHash fingerprints
+    are that near link as well, as in ``components``.
     """
-    sets = shingle_sets(docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit("\0null"))).alias("t"), "text"), width)
-    sets = written(sets.select("doc_id", "t", F.xxhash64("shingles").alias("h"), F.size("shingles").cast("long").alias("la"), F.slice("shingles", 1, most).alias("some")), "sets")
+    prints = [] if bits is None else ["fingerprint"]
+    rows = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit("\0null"))).alias("t"), "text")
+    sets = shingle_sets(rows if bits is None else fingerprints(rows), width)
+    sets = written(sets.select("doc_id", "t", *prints, F.xxhash64("shingles").alias("h"), F.size("shingles").cast("long").alias("la"), F.slice("shingles", 1, most).alias("some")), "sets")
     distinct = sets.groupBy("h").agg(F.min(F.struct("t", "doc_id")).alias("o"), F.first("la").alias("la"), F.first("some").alias("some"))
     distinct = tidy(written(distinct, "distinct"))
     met = tidy(written(meetings(distinct.select(F.explode("some").alias("key"), "h", "la")), "meetings"))
@@ -147,19 +159,22 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, mos
     lose = F.size("shingles") - F.ceil(F.lit(similarity) * F.size("shingles") - 1e-9)  # what is common is a share of either set
     items = whole.join(hot, "h").select("h", "root", F.size("shingles").alias("la"), lose.alias("lose"), F.col("shingles").alias("parts"))
     rest = tidy(written(few_pairs(of, near).unionByName(rare_pairs(items, near)).distinct(), "rest"))
-    groups = connected_groups(some.kinweave_edges.unionByName(similar(rest)), "h", "root")
+    edges = some.kinweave_edges.unionByName(similar(rest))
+    if bits is not None:
+        edges = edges.unionByName(ball_links(sets, bits))
+    groups = connected_groups(edges, "h", "root")
     for table in (distinct, met, whole, links, some, of, rest):
         forget(table)
     return sets.select("doc_id", "t", "h"), tidy(groups)
 
 
-def first_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8, most: int = 8) -> DataFrame:
+def first_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8, most: int = 8, bits: int | None = None) -> DataFrame:
     """One row of ``docs`` for each group that ``similar_groups`` finds: that with the smallest doc_id, then text hash (null doc_id last).
 
     Rows are told apart by doc_id and text, so unlike texts under one doc_id, or under none, stay.  Of rows equal in
     both one stays.  Null texts count as empty ones and are a group with them.  No rows give none.
     """
-    sets, groups = similar_groups(docs, width, similarity, most)
+    sets, groups = similar_groups(docs, width, similarity, most, bits)
     rows = sets.groupBy("doc_id", "t", "h").agg(F.count("*").alias("n")).join(groups, "h", "left")
     rows = rows.select("doc_id", "t", "n", F.coalesce("root", "h").alias("root"), F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "t").alias("o"))
     least = rows.groupBy("root").agg(F.min("o").alias("least"))

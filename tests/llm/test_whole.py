@@ -208,3 +208,14 @@ def test_edges_left_after_some_rounds_connect_all(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(80)], "u long, v long")
     some = connected_groups(chain, rounds=2)
     assert {r["root"] for r in connected_groups(some.kinweave_edges).collect()} == {0}
+
+
+def test_near_dedup_links_by_simhash(spark):
+    """The pipeline's near-dedup links what op8's components link, shingles alike or not."""
+    base, draw = ["one", "and", "the"] * 200, random.Random(2)
+    tail = line_of(60, draw)
+    texts = [" ".join(base + tail[:30]), " ".join(base + tail[30:]), " ".join(line_of(50, draw)), " ".join(line_of(50, draw)), None, " "]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    groups = {r["doc_id"]: r["component_id"] for r in neardup.components(df, bits=2).collect()}
+    assert groups == {0: 0, 1: 0, 2: 2, 3: 3, 4: 4, 5: 4} and {r["doc_id"] for r in neardup.first_of_each(df).collect()} == {0, 1, 2, 3, 4}
+    assert {r["doc_id"] for r in corpus_pipeline.dedup_documents(spark, df, "").collect()} == {0, 2, 3, 4}
