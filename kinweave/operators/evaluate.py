@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .stored import written
+
 
 def _ratio(a: Column, b: Column) -> Column:
     return F.when(b == 0, 0.0).otherwise(a / b)
@@ -79,12 +81,18 @@ def evaluate_predictions(truth: DataFrame, predictions: DataFrame, beta: float =
 
 
 def cumulative_rules(queries: DataFrame, targets: DataFrame, truth: DataFrame, candidates, rules: list[str], cfg) -> DataFrame:
-    """A row for each prefix of ``rules``: what ``candidates`` finds with these rules alone."""
+    """A row for each prefix of ``rules``: what ``candidates`` finds with these rules alone.
+
+    ``candidates`` is asked for those among the true pairs and, so that every query with any is known, for those of queries without true ones.
+    """
     from dataclasses import replace
 
+    truth = written(truth, "truth")
+    only = written(truth.select("s1_id", F.explode("ids").alias("candidate_id")).distinct(), "want")
+    alone = truth.where(F.size("ids") == 0).select("s1_id")
     out = None
     for i in range(1, len(rules) + 1):
-        found = candidates(queries, targets, replace(cfg, rules=tuple(rules[:i])))
+        found = candidates(queries, targets, replace(cfg, rules=tuple(rules[:i])), only=only, alone=alone)
         row = recall_metrics(truth, found).select(F.lit(i).alias("n_rules"), F.lit(rules[i - 1]).alias("added"), "*")
         out = row if out is None else out.unionByName(row)
     return out

@@ -109,9 +109,34 @@ def merged_candidates(matches: DataFrame, cfg: BlockingConfig | None = None) ->
     return first_rows(one, ["s1_id"], [F.desc("score"), "candidate_id"], cfg.blocking_max_candidates_per_s1).drop("shard_id")
 
 
-def scored_candidates(queries: DataFrame, targets: DataFrame, cfg: BlockingConfig | None = None) -> DataFrame:
-    """scored_matches, capped for each shard and merged."""
-    return merged_candidates(shard_capped(scored_matches(queries, targets, cfg), cfg), cfg)
+#: Rules that drop no key for its frequency and give a target one key at most.
+_PLAIN = {"exact_name", "core_name", "compact_name"}
+
+
+def scored_candidates(queries: DataFrame, targets: DataFrame, cfg: BlockingConfig | None = None, only: DataFrame | None = None, alone: DataFrame | None = None) -> DataFrame:
+    """scored_matches, capped for each shard and merged.
+
+    With ``only`` (s1_id, candidate_id) those of its pairs, and of the queries ``alone`` (s1_id) one candidate each, if they have any.  Where
+    no bound can be reached, others are not formed: a query has no more candidates, and a key no more postings, than there are targets.
+    """
+    cfg = cfg or BlockingConfig()
+    if only is None:
+        return merged_candidates(shard_capped(scored_matches(queries, targets, cfg), cfg), cfg)
+    alone = queries.select("s1_id").limit(0) if alone is None else alone
+    least = min(cfg.blocking_max_posting_len, cfg.blocking_per_shard_candidate_cap, cfg.blocking_max_candidates_per_s1)
+    if not _PLAIN.issuperset(cfg.rules) or targets.count() > least:
+        got = written(scored_candidates(queries, targets, cfg), "candidates")
+        one = first_rows(got.join(alone.distinct(), "s1_id", "left_semi"), ["s1_id"], ["candidate_id"], 1)
+        return got.join(only, ["s1_id", "candidate_id"], "left_semi").unionByName(one).distinct()
+    columns = ("business_name_norm", "business_address_norm")
+    keys = written(target_keys(targets.select(*SCOPE, "entity_id", "source", *columns), cfg).drop(*columns), "keys")
+    asked = written(query_keys(queries.select("s1_id", *columns), cfg), "asked")
+    least = keys.groupBy("rule", "key").agg(F.min("entity_id").alias("candidate_id"))
+    one = asked.join(alone.distinct(), "s1_id").join(least, ["rule", "key"]).groupBy("s1_id").agg(F.min("candidate_id").alias("candidate_id"))
+    pairs = only.select("s1_id", "candidate_id").unionByName(one).distinct()
+    found = pairs.join(asked, "s1_id").join(keys.withColumnRenamed("entity_id", "candidate_id"), ["candidate_id", "rule", "key"])
+    best = _scored(found).groupBy(*SCOPE, "s1_id", "candidate_id", F.col("source").alias("source_dataset")).agg(F.max_by("rule", "score").alias("rule_name"), F.max("score").alias("score"))
+    return merged_candidates(best, cfg)
 
 
 def _union_keys(df: DataFrame, cfg: BlockingConfig, is_query: bool) -> DataFrame:
