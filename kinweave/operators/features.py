@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_number, tokens
+from .stored import written
 
 
 def _jaccard(a: Column, b: Column) -> Column:
@@ -48,32 +49,39 @@ def _winkler(a: str, b: str) -> Column:
     return F.pandas_udf(run, "double")(a, b)
 
 
-def _weights(df: DataFrame, column: str, of: DataFrame) -> DataFrame:
-    """entity_id, token, w: TF-IDF weights of unit length over the records of ``of``."""
-    n = of.count()
-    words = of.select("entity_id", F.explode(tokens(F.col(column))).alias("token"))
-    tf = words.groupBy("entity_id", "token").agg(F.count("*").alias("tf"))
-    df_ = tf.groupBy("token").agg(F.count("*").alias("df"))
+def _cosine(pairs: DataFrame, records: DataFrame, column: str, words: DataFrame, n: int, name: str) -> DataFrame:
+    """``pairs`` (r1, r2) with the cosine of the TF-IDF vectors of two ``records`` (r); frequencies are those of ``words`` over ``n`` rows."""
+    tf = records.select("r", F.explode(column).alias("token")).groupBy("r", "token").agg(F.count("*").alias("tf"))
+    df_ = words.select(F.explode(F.array_distinct(column)).alias("token")).groupBy("token").agg(F.count("*").alias("df"))
     raw = tf.join(df_, "token").withColumn("w", F.col("tf") * (F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1))
-    norm = raw.groupBy("entity_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norm, "entity_id").select("entity_id", "token", (F.col("w") / F.col("norm")).alias("w"))
-
-
-def tfidf_cosine(pairs: DataFrame, entities: DataFrame, column: str, name: str) -> DataFrame:
-    """``pairs`` with the cosine of the two records' TF-IDF vectors; only pairs' own words meet."""
-    w = _weights(entities, column, entities)
-    both = pairs.select("s1_id", "candidate_id").distinct().join(w.select(F.col("entity_id").alias("s1_id"), "token", F.col("w").alias("a")), "s1_id")
-    both = both.join(w.select(F.col("entity_id").alias("candidate_id"), "token", F.col("w").alias("b")), ["candidate_id", "token"])
-    cos = both.groupBy("s1_id", "candidate_id").agg(F.sum(F.col("a") * F.col("b")).alias(name))
-    return pairs.join(cos, ["s1_id", "candidate_id"], "left").withColumn(name, F.coalesce(name, F.lit(0.0)))
-
-
-def pair_features(pairs: DataFrame, entities: DataFrame, with_jaro_winkler: bool = True) -> DataFrame:
-    """s1_id, candidate_id and the features of names and addresses; ``entities`` has entity_id and the normalised columns."""
-    side = entities.select("entity_id", F.col("business_name_norm").alias("name"), F.col("business_address_norm").alias("addr"))
-    left = side.toDF("s1_id", "n1", "a1")
-    right = side.toDF("candidate_id", "n2", "a2")
-    both = pairs.select("s1_id", "candidate_id").distinct().join(left, "s1_id").join(right, "candidate_id")
+    norm = raw.groupBy("r").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    w = written(raw.join(norm, "r").select("r", "token", (F.col("w") / F.col("norm")).alias("w")), "weights")
+    both = pairs.select("r1", "r2").join(w.select(F.col("r").alias("r1"), "token", F.col("w").alias("a")), "r1")
+    both = both.join(w.select(F.col("r").alias("r2"), "token", F.col("w").alias("b")), ["r2", "token"])
+    cos = both.groupBy("r1", "r2").agg(F.sum(F.col("a") * F.col("b")).alias(name))
+    return pairs.join(cos, ["r1", "r2"], "left").withColumn(name, F.coalesce(name, F.lit(0.0)))
+
+
+def pair_features(pairs: DataFrame, entities: DataFrame, with_jaro_winkler: bool = True, digits: int | None = None) -> DataFrame:
+    """s1_id, candidate_id and the features of names and addresses, rounded to ``digits``; ``entities`` has entity_id and the normalised columns.
+
+    Entities of equal name and address are one record: features are worked out once for two records, however many pairs have them.
+    """
+    side = written(entities.select("entity_id", F.col("business_name_norm").alias("name"), F.col("business_address_norm").alias("addr")), "sides")
+    n = side.count()
+    # An entity's words, over all of its rows if it has several.
+    words = side.groupBy("entity_id").agg(*[F.array_sort(F.flatten(F.collect_list(tokens(F.col(c))))).alias(f"{c}_words") for c in ("name", "addr")])
+    words = written(words, "words")
+    what = ["name", "addr", "name_words", "addr_words"]
+    rows = written(side.join(words, "entity_id"), "rows")
+    records = written(rows.select(*what).distinct().withColumn("r", F.monotonically_increasing_id()), "records")
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in what]
+    members = written(rows.alias("a").join(records.alias("b"), same[0] & same[1] & same[2] & same[3]).select("entity_id", "r"), "members")
+    ids = pairs.select("s1_id", "candidate_id").distinct()
+    ids = ids.join(members.select(F.col("entity_id").alias("s1_id"), F.col("r").alias("r1")), "s1_id")
+    ids = written(ids.join(members.select(F.col("entity_id").alias("candidate_id"), F.col("r").alias("r2")), "candidate_id"), "ids")
+    wanted = written(ids.select("r1", "r2").distinct(), "wanted")
+    both = wanted.join(records.select("r", "name", "addr").toDF("r1", "n1", "a1"), "r1").join(records.select("r", "name", "addr").toDF("r2", "n2", "a2"), "r2")
     n1, n2, a1, a2 = (F.col(c) for c in ("n1", "n2", "a1", "a2"))
     longest = F.greatest(F.length(n1), F.length(n2))
 
@@ -81,7 +89,7 @@ def pair_features(pairs: DataFrame, entities: DataFrame, with_jaro_winkler: bool
         return F.transform(F.filter(tokens(x), lambda t: F.regexp_like(t, F.lit(r"\p{Nd}"))), clean_number)
 
     got = both.select(
-        "s1_id", "candidate_id", "n1", "n2",
+        "r1", "r2", "n1", "n2",
         ((n1 == n2) & (n1 != "")).cast("int").alias("name_exact_match"), _jaccard(tokens(n1), tokens(n2)).alias("name_token_jaccard"),
         F.when(longest == 0, 0.0).otherwise(1 - F.levenshtein(n1, n2) / longest).alias("name_levenshtein_ratio"),
         ((a1 == a2) & (a1 != "")).cast("int").alias("addr_exact_match"), _jaccard(tokens(a1), tokens(a2)).alias("addr_token_jaccard"),
@@ -91,8 +99,11 @@ def pair_features(pairs: DataFrame, entities: DataFrame, with_jaro_winkler: bool
     if with_jaro_winkler:
         got = got.withColumn("name_jw_distance", 1 - _winkler("n1", "n2"))
     got = got.drop("n1", "n2")
-    got = tfidf_cosine(got, entities, "business_name_norm", "name_tfidf_cosine")
-    return tfidf_cosine(got, entities, "business_address_norm", "addr_tfidf_cosine")
+    got = _cosine(got, records, "name_words", words, n, "name_tfidf_cosine")
+    got = _cosine(got, records, "addr_words", words, n, "addr_tfidf_cosine")
+    if digits is not None:
+        got = got.withColumns({c: F.round(c, digits) for c, k in got.dtypes if k == "double"})
+    return ids.join(written(got, "features"), ["r1", "r2"]).drop("r1", "r2")
 
 
 def fused(scores: DataFrame, threshold: float) -> DataFrame:

@@ -11,7 +11,7 @@ from ..functions.text import normalize_text, with_normalized
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """entity_id, source, ord, business_name, business_address, country, and their normalised forms, of each document; two fifths of the names say what kind of firm it is."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    part = F.split(normalize_text(F.col("text")), " ")
+    part = F.split(normalize_text(F.col("text")), " ", 10)  # the first nine words, and the rest as one
     got = docs.select("doc_id", "lang", "n_chars", part.alias("t"))
     kind = F.col("doc_id") % 3 + 1
     firm = F.when(F.col("doc_id") % 5 == 0, ", LLC.").when(F.col("doc_id") % 5 == 3, " (Holdings)").otherwise("")
@@ -24,9 +24,9 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_normalized(got)
 
 
-def queries_and_targets(spark: SparkSession, sf_dir: str, n_shards: int = 1) -> tuple[DataFrame, DataFrame]:
-    """Source 1 with s1_id; sources 2 and 3 with shard_id."""
-    every = entities(spark, sf_dir)
+def queries_and_targets(spark: SparkSession, sf_dir: str, n_shards: int = 1, every: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Source 1 with s1_id; sources 2 and 3 with shard_id.  ``every`` are the entities, if they are written already."""
+    every = entities(spark, sf_dir) if every is None else every
     s1 = every.where("source = 'source1'").withColumnRenamed("entity_id", "s1_id")
     return s1, every.where("source != 'source1'").withColumn("shard_id", (F.col("ord") % n_shards).cast("int"))
 
@@ -36,6 +36,6 @@ def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     kind = F.col("doc_id") % 3 + 1
     each = docs.select(F.concat(F.lit("S"), kind, F.lit("-"), "doc_id").alias("entity_id"), kind.alias("kind"), F.md5(normalize_text(F.col("text")).cast("binary")).alias("m"))
-    s1 = each.where("kind = 1").select(F.col("entity_id").alias("s1_id"), "m")
-    lists = each.where("kind > 1").groupBy("m").agg(F.array_sort(F.collect_set("entity_id")).alias("ids"))
-    return s1.join(lists, "m", "left").select("s1_id", F.coalesce("ids", F.array().cast("array<string>")).alias("ids"))
+    ids = F.array_sort(F.collect_set(F.when(F.col("kind") > 1, F.col("entity_id"))))
+    both = each.groupBy("m").agg(F.collect_list(F.when(F.col("kind") == 1, F.col("entity_id"))).alias("s1"), ids.alias("ids"))
+    return both.select(F.explode("s1").alias("s1_id"), "ids")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..config import BlockingConfig
 from ..functions import minhash, text
 from ..operators import evaluate, features, postings, profile, retrieve, sampling, validate
+from ..operators.stored import written
 from . import fixtures, oracle
 
 SMALL = BlockingConfig(
@@ -159,8 +160,13 @@ def union_candidates_provenance(spark, sf_dir):
 _EXACT_PAIRS = f"WITH {oracle.KEYED}, q AS (SELECT entity_id AS s1_id, * FROM k WHERE source = 'source1'), p AS (SELECT q.s1_id, t.entity_id AS candidate_id FROM q JOIN k t ON t.source <> 'source1' AND t.name = q.name AND q.name <> '')"
 
 
-def _exact_pairs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    q, t = fixtures.queries_and_targets(spark, sf_dir)
+def _written_entities(spark, sf_dir) -> DataFrame:
+    rows = fixtures.entities(spark, sf_dir)
+    return written(rows.select("entity_id", "source", "ord", "business_name_norm", "business_address_norm", "country_norm"), "entities")
+
+
+def _exact_pairs(spark, sf_dir, every: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    q, t = fixtures.queries_and_targets(spark, sf_dir, every=every)
     pairs = q.where("business_name_norm != ''").select("s1_id", "business_name_norm").join(t.select(F.col("entity_id").alias("candidate_id"), "business_name_norm"), "business_name_norm")
     return q, pairs.select("s1_id", "candidate_id")
 
@@ -297,8 +303,8 @@ SELECT p.s1_id, p.candidate_id, CAST(a.name = b.name AND a.name <> '' AS INTEGER
   round(coalesce(c1.cos, 0.0), 6) AS name_tfidf_cosine, round(coalesce(c2.cos, 0.0), 6) AS addr_tfidf_cosine
 FROM p JOIN ent a ON a.entity_id = p.s1_id JOIN ent b ON b.entity_id = p.candidate_id LEFT JOIN c1 ON c1.s1_id = p.s1_id AND c1.candidate_id = p.candidate_id LEFT JOIN c2 ON c2.s1_id = p.s1_id AND c2.candidate_id = p.candidate_id""")
 def pair_features(spark, sf_dir):
-    got = features.pair_features(_exact_pairs(spark, sf_dir)[1], fixtures.entities(spark, sf_dir), with_jaro_winkler=False)
-    return got.withColumns({c: F.round(c, 6) for c, k in got.dtypes if k == "double"})
+    every = _written_entities(spark, sf_dir)
+    return features.pair_features(_exact_pairs(spark, sf_dir, every)[1], every, with_jaro_winkler=False, digits=6)
 
 
 @query(_EXACT_PAIRS + " SELECT DISTINCT p.s1_id, p.candidate_id, round(1 - jaro_winkler_similarity(a.name, b.name), 6) AS name_jw_distance FROM p JOIN ent a ON a.entity_id = p.s1_id JOIN ent b ON b.entity_id = p.candidate_id")
@@ -311,7 +317,7 @@ SELECT 1 AS n_rules, 'exact_name' AS added, (SELECT count(*) FROM w) AS total_pa
 UNION ALL SELECT 2, 'compact_name', (SELECT count(*) FROM w), (SELECT count(*) FROM w WHERE EXISTS (SELECT 1 FROM p WHERE p.s1_id = w.s1_id AND p.candidate_id = w.t)
   OR EXISTS (SELECT 1 FROM q JOIN k t ON t.compact = q.compact AND length(q.compact) >= 5 WHERE q.s1_id = w.s1_id AND t.entity_id = w.t))""")
 def cumulative_rule_report(spark, sf_dir):
-    q, t = fixtures.queries_and_targets(spark, sf_dir)
+    q, t = fixtures.queries_and_targets(spark, sf_dir, every=_written_entities(spark, sf_dir))
     wide = BlockingConfig(blocking_max_posting_len=1_000_000, blocking_max_candidates_per_s1=1_000_000, blocking_per_shard_candidate_cap=1_000_000)
     got = evaluate.cumulative_rules(q, t, fixtures.truth(spark, sf_dir), retrieve.scored_candidates, ["exact_name", "compact_name"], wide)
     return got.select("n_rules", "added", "total_pairs", "found_pairs")

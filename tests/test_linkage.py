@@ -143,3 +143,36 @@ def test_fused_scores_and_threshold(spark):
     f = {r["threshold"]: r["macro_f"] for r in best}
     assert f[0.3] == pytest.approx((1.25 * 0.5 / (0.25 * 0.5 + 1)) / 2) and f[0.75] == 0.0 and f[0.95] == pytest.approx(0.5)
     assert best[0]["threshold"] == 0.95
+
+
+def test_candidates_asked_for_are_those_among_all(spark):
+    """With bounds out of reach and with bounds that fire, true pairs and queries without any get what all candidates hold."""
+    from pyspark.sql import functions as F
+
+    from kinweave.config import BlockingConfig
+    from kinweave.operators import retrieve
+
+    sides = [(f"S{k % 3 + 1}-{k}", f"source{k % 3 + 1}", k, ("north star", "north star llc", "northstar", "south")[k % 4], "1 road", "en") for k in range(60)]
+    every = spark.createDataFrame(sides, "entity_id string, source string, ord long, business_name_norm string, business_address_norm string, country_norm string")
+    q = every.where("source = 'source1'").withColumnRenamed("entity_id", "s1_id")
+    t = every.where("source != 'source1' and ord % 4 != 3").withColumn("shard_id", F.lit(0))
+    only = q.select("s1_id").crossJoin(t.where("ord % 5 = 1").select(F.col("entity_id").alias("candidate_id"))).where("s1_id != 'S1-0'")
+    alone = q.where("s1_id in ('S1-0', 'S1-3')").select("s1_id")
+    for most in (1000, 7):
+        cfg = BlockingConfig(blocking_max_posting_len=most, blocking_max_candidates_per_s1=most, blocking_per_shard_candidate_cap=most, rules=("exact_name", "compact_name"))
+        rows = {tuple(r) for r in retrieve.scored_candidates(q, t, cfg).collect()}
+        got = {tuple(r) for r in retrieve.scored_candidates(q, t, cfg, only=only, alone=alone).collect()}
+        asked = {tuple(r) for r in only.collect()}
+        assert got <= rows and {r for r in rows if r[:2] in asked} <= got and len({r for r in got if r[0] == "S1-0"}) == 1
+        assert {r[0] for r in got if r[:2] not in asked} == {"S1-0"}
+
+
+def test_pairs_of_equal_records_share_features(spark):
+    from kinweave.operators import features
+
+    rows = [("a", "x y", "1 b"), ("b", "x y", "1 b"), ("c", "x y", "01 c"), ("d", "x y", "1 b"), ("e", "", ""), ("f", "z", None)]
+    entities = spark.createDataFrame(rows, "entity_id string, business_name_norm string, business_address_norm string")
+    pairs = spark.createDataFrame([("a", "c"), ("b", "c"), ("a", "d"), ("a", "d"), ("e", "f")], "s1_id string, candidate_id string")
+    got = {(r["s1_id"], r["candidate_id"]): tuple(r)[2:] for r in features.pair_features(pairs, entities, with_jaro_winkler=False, digits=3).collect()}
+    assert set(got) == {("a", "c"), ("b", "c"), ("a", "d"), ("e", "f")} and got["a", "c"] == got["b", "c"] != got["a", "d"]
+    assert got["a", "d"] == (1, 1.0, 1.0, 1, 1.0, 1, 0, 0, 1.0, 1.0) and got["e", "f"][-2:] == (0.0, 0.0)
