@@ -153,7 +153,7 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, mos
         return both.where(F.col("both") >= F.lit(similarity) * (F.size("shingles") + F.size("others") - F.col("both")) - 1e-9).select(F.col("h").alias("u"), F.col("g").alias("v"))
 
     links = written(similar(pairs), "links")
-    some = connected_groups(links, "h", "root", rounds=2)
+    some = connected_groups(links, "h", "root")
     of = written(unresolved(met, some), "mixed")
     hot = of.where(F.col("n") > FEW).select("h", "root").distinct()
     lose = F.size("shingles") - F.ceil(F.lit(similarity) * F.size("shingles") - 1e-9)  # what is common is a share of either set

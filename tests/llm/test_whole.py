@@ -219,3 +219,23 @@ def test_near_dedup_links_by_simhash(spark):
     groups = {r["doc_id"]: r["component_id"] for r in neardup.components(df, bits=2).collect()}
     assert groups == {0: 0, 1: 0, 2: 2, 3: 3, 4: 4, 5: 4} and {r["doc_id"] for r in neardup.first_of_each(df).collect()} == {0, 1, 2, 3, 4}
     assert {r["doc_id"] for r in corpus_pipeline.dedup_documents(spark, df, "").collect()} == {0, 2, 3, 4}
+
+
+def test_pipeline_compares_families_of_lines_once(spark, monkeypatch):
+    """A family of near copies is connected through neighbours; none of its pairs is formed again, whatever else is on its blocks."""
+    draw, compared, similar = random.Random(33), [], lines.similar
+    base, rows = [f"b{i}" for i in range(40)], []
+    for k in range(400):
+        words = list(base)
+        words[draw.randrange(20)] = f"x{k}"
+        rows.append((k, " ".join(words), "en", "s", 1))
+    rows += [(400 + k, " ".join(base[20:] + [f"o{k}x{i}" for i in range(20)]), "en", "s", 1) for k in range(3)]
+
+    def counting(pairs, texts, similarity):
+        compared.append(pairs.count())
+        return similar(pairs, texts, similarity)
+
+    monkeypatch.setattr(lines, "similar", counting)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r["doc_id"] for r in corpus_pipeline.dedup_lines(spark, df, "").collect()} == {0, 400, 401, 402}
+    assert compared[1] < 400
