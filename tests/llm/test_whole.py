@@ -221,6 +221,33 @@ def test_near_dedup_links_by_simhash(spark):
     assert {r["doc_id"] for r in corpus_pipeline.dedup_documents(spark, df, "").collect()} == {0, 2, 3, 4}
 
 
+def test_lines_on_a_long_passage_form_few_pairs(spark):
+    """Lines that share most of their words with very many lines, but not enough, are not formed as pairs; those that are similar are."""
+    draw, passage = random.Random(31), [f"p{i}" for i in range(60)]
+    texts = []
+    for k in range(150):  # own words: 25 of 85, where 17 edits are allowed
+        own = [f"w{k}x{i}" for i in range(25)]
+        texts += [passage + own, passage + [draw.choice((w, f"{w}y")) for w in own[:8]] + own[8:]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    made = spark.createDataFrame([(i, 0x10000 * 85, i, 5, t) for i, t in rows], "h long, la long, root long, key long, line string")
+    met = made.select("key", "h", "la", F.lit(None).cast("long").alias("g"), F.lit(None).cast("long").alias("lb"), F.lit(len(rows)).cast("long").alias("n"))
+    got = {(r["h"], r["g"]) for r in lines.other_pairs(met, made.select("h", "root").limit(0), made.select("h", lines.coded(F.col("line"), 5).alias("coded")), 0.8).collect()}
+    assert {(2 * k, 2 * k + 1) for k in range(150)} <= got and len(got) < 1000
+
+
+def test_words_lacking_are_never_more_than_edits(spark):
+    draw, rows = random.Random(32), []
+    for n in (5, 20, 90, 700):
+        for _ in range(12):
+            base = [draw.choice("abcdefgh") if draw.random() < 0.3 else f"w{draw.randrange(4 * n)}" for _ in range(n)]
+            other = changed(base, draw.randrange(1 + n // 4), draw)
+            rows.append((distance(base, other) if n < 700 else n // 4, " ".join(base), " ".join(other)))
+    df = spark.createDataFrame(rows, "d int, a string, b string")
+    bits = df.select("d", *[meet.bitmap(lines.counted(lines.coded(F.col(x), 1))).alias(x) for x in "ab"])
+    got = bits.select("d", meet.lacking("a", "b").alias("x"), meet.lacking("b", "a").alias("y")).collect()
+    assert all(max(r["x"], r["y"]) <= r["d"] for r in got) and sum(max(r["x"], r["y"]) >= 0.7 * r["d"] for r in got) > len(got) / 2
+
+
 def test_pipeline_compares_families_of_lines_once(spark, monkeypatch):
     """A family of near copies is connected through neighbours; none of its pairs is formed again, whatever else is on its blocks."""
     draw, compared, similar = random.Random(33), [], lines.similar
