@@ -266,3 +266,26 @@ def test_pipeline_compares_families_of_lines_once(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     assert {r["doc_id"] for r in corpus_pipeline.dedup_lines(spark, df, "").collect()} == {0, 400, 401, 402}
     assert compared[1] < 400
+
+
+def test_lines_on_different_phrases_form_no_pairs(spark):
+    """Long lines of the same few words, which bitmaps of the words cannot tell apart, are compared with lines on their own phrases only."""
+    draw, rows, vocabulary = random.Random(34), [], [f"v{i}" for i in range(200)]
+    for phrase in range(3):
+        for k in range(69):
+            base = [draw.choice(vocabulary) for _ in range(900)]
+            rows += [(phrase, " ".join(x)) for x in (base, changed(base, 5, draw))[: 2 if k == 0 else 1]]
+    rows = [(i, *x) for i, x in enumerate(rows)]
+    made = spark.createDataFrame([(i, 0x10000 * len(t.split(" ")), i, p, t) for i, p, t in rows], "h long, la long, root long, key long, line string")
+    texts = made.select("h", lines.coded(F.col("line"), 5).alias("coded"))
+    met = made.select("key", "h", "la", F.lit(None).cast("long").alias("g"), F.lit(None).cast("long").alias("lb"), F.lit(70).cast("long").alias("n"))
+    got = {(r["h"], r["g"]) for r in lines.other_pairs(met, made.select("h", "root").limit(0), texts, 0.8).collect()}
+    assert {(70 * k, 70 * k + 1) for k in range(3)} <= got and all(rows[a][1] == rows[b][1] for a, b in got)
+
+
+def test_a_block_of_some_lines_has_all_its_pairs_compared(spark):
+    """Below the number of lines that makes a block a phrase, pairs are formed by the block alone."""
+    made = spark.createDataFrame([(i, 0x10000 * 20, i, 5) for i in range(60)], "h long, la long, root long, key long")
+    met = made.select("key", "h", "la", F.lit(None).cast("long").alias("g"), F.lit(None).cast("long").alias("lb"), F.lit(60).cast("long").alias("n"))
+    texts = made.select("h", F.lit("").alias("coded")).limit(0)
+    assert lines.other_pairs(met, made.select("h", "root").limit(0), texts, 0.8).count() == 60 * 59 // 2
